@@ -22,8 +22,10 @@ def enrich_fx(orders: DataFrame, rates: DataFrame, code_col: str = "currency_cod
     fans out); it is broadcast after a size check, so the large side is never
     shuffled for this join.
     """
-    r = bounded_broadcast(rates.select(target_col, rate_col), MAX_BROADCAST_RATES)
-    return orders.join(r, orders[code_col] == r[target_col], "left").drop(r[target_col])
+    r = bounded_broadcast(rates.select(F.col(target_col).alias("__fx_target"), rate_col),
+                          MAX_BROADCAST_RATES)
+    return (orders.join(r, F.col(code_col) == F.col("__fx_target"), "left")
+            .drop("__fx_target"))
 
 
 def convert_to_base(amount_col: str, rate_col: str = "exchange_rate"):

@@ -50,3 +50,6 @@ _alias("customers_null_email", "unknown_customers")
 _alias("clean_products", "silver_products")
 _alias("clean_stores", "silver_stores")
 _alias("clean_payments", "silver_payments")
+
+
+from . import reports  # noqa: E402,F401  (registers the report entries)

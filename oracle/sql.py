@@ -159,5 +159,6 @@ def model_ctes() -> list[str]:
     return ctes
 
 
-def with_models(select: str) -> str:
-    return "WITH\n" + ",\n".join(model_ctes()) + "\n" + select
+def with_models(select: str, extra: str | None = None) -> str:
+    ctes = model_ctes() + ([extra] if extra else [])
+    return "WITH\n" + ",\n".join(ctes) + "\n" + select
