@@ -11,10 +11,24 @@ from ..operators.latest import latest_by_key
 from .registry import Context, model
 
 
+def latest_staged(ctx: Context, df: DataFrame, key: str, order_by: list[str],
+                  tie_breakers: list[str]) -> DataFrame:
+    """Latest version per key of a staging table.
+
+    Staging accumulates loads, so in general several versions of a key are
+    present and the newest one is picked. When staging is this run's silver
+    output (one load, already latest-by-key) every key has exactly one row and
+    the pick is the identity: the window and its full sort are skipped.
+    """
+    if ctx.opt("staging_loader") is None and not ctx.opt("force_core_latest", False):
+        return df
+    return latest_by_key(df, key, order_by, tie_breakers)
+
+
 @model("dim_customer", "core")
 def dim_customer(ctx: Context) -> DataFrame:
     """Newest version of each customer by ``updated_at``; natural id is the key."""
-    latest = latest_by_key(ctx.ref("stg_customers"), "customer_id", ["updated_at"],
+    latest = latest_staged(ctx, ctx.ref("stg_customers"), "customer_id", ["updated_at"],
                            ["ingestion_timestamp"])
     return latest.select(
         F.col("customer_id").alias("customer_key"), "customer_id", "first_name", "last_name",
@@ -24,7 +38,7 @@ def dim_customer(ctx: Context) -> DataFrame:
 
 @model("dim_product", "core")
 def dim_product(ctx: Context) -> DataFrame:
-    latest = latest_by_key(ctx.ref("stg_products"), "product_id", ["updated_at"],
+    latest = latest_staged(ctx, ctx.ref("stg_products"), "product_id", ["updated_at"],
                            ["ingestion_timestamp"])
     return latest.select(
         F.col("product_id").alias("product_key"), "product_id", "product_name", "category",
@@ -34,7 +48,7 @@ def dim_product(ctx: Context) -> DataFrame:
 
 @model("dim_store", "core")
 def dim_store(ctx: Context) -> DataFrame:
-    latest = latest_by_key(ctx.ref("stg_stores"), "store_id", ["created_at"],
+    latest = latest_staged(ctx, ctx.ref("stg_stores"), "store_id", ["created_at"],
                            ["ingestion_timestamp"])
     return latest.select(
         F.col("store_id").alias("store_key"), "store_id", "store_name", "store_type",
@@ -55,13 +69,13 @@ def dim_date(ctx: Context) -> DataFrame:
 @model("latest_orders", "core")
 def latest_orders(ctx: Context) -> DataFrame:
     """Newest load of each order by ``batch_date`` (ties: newer ingestion)."""
-    return latest_by_key(ctx.ref("stg_orders"), "order_id", ["batch_date"],
+    return latest_staged(ctx, ctx.ref("stg_orders"), "order_id", ["batch_date"],
                          ["ingestion_timestamp"])
 
 
 @model("latest_order_items", "core")
 def latest_order_items(ctx: Context) -> DataFrame:
-    return latest_by_key(ctx.ref("stg_order_items"), "order_item_id", ["batch_date"],
+    return latest_staged(ctx, ctx.ref("stg_order_items"), "order_item_id", ["batch_date"],
                          ["ingestion_timestamp", "product_id"])
 
 
