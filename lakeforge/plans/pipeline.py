@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from ..operators.quality import CORE_EXPECTATIONS, check_batch, run_expectations
 from ..schemas import RAW_REQUIRED_ORDER_COLUMNS, RAW_SCHEMAS, SPECS
-from ..sinks.writers import align_by_name, land_csv, write_full, write_partitioned
+from ..sinks.writers import (align_by_name, land_csv, write_full, write_observed,
+                             write_partitioned)
 from ..sources.extract import read_incremental
 from ..sources.files import read_raw_csv
 from ..sources.watermark import advance_watermark, get_watermark, read_state, write_state
@@ -106,9 +107,15 @@ def run_pipeline(spark: SparkSession, source: Callable[[str], DataFrame], fx_raw
 
     # silver: all bronze batches -> latest per key, cleansed; full overwrite
     ctx = parquet_context(spark, z.bronze, fx_path)
+    counts = {}
     for t, m in SILVER_OUTPUTS.items():
-        write_full(ctx.ref(m), f"{z.silver}/{t}")
-    write_full(ctx.ref("reject_customers"), f"{z.reject}/customers")
+        counts[f"silver_{t}"] = write_observed(ctx.ref(m), f"{z.silver}/{t}", f"silver_{t}")
+    counts["reject_customers"] = write_observed(ctx.ref("reject_customers"),
+                                                f"{z.reject}/customers", "reject_customers")
+    # audit trail of the run: rows written per silver output, one partition per batch
+    audit = spark.createDataFrame(sorted(counts.items()), "table_name string, row_count bigint")
+    write_partitioned(audit.withColumn("batch_date", F.lit(batch_date).cast("date")),
+                      f"{z.state}/layer_counts")
 
     # staging: append this load by name (one partition per load date, rerun-safe)
     for t in SPECS:

@@ -87,3 +87,28 @@ def parquet_context(spark: SparkSession, bronze_root: str, fx_path: str | None =
         return files.read_bronze(spark, bronze_root, name)
 
     return Context(spark, bronze, dict(options))
+
+
+def register_views(ctx: Context, names: list[str], prefix: str = "") -> None:
+    """View materialisation: expose models as temp views (no data written)."""
+    for n in names:
+        ctx.ref(n).createOrReplaceTempView(prefix + n)
+
+
+def materialize(ctx: Context, name: str, path: str) -> DataFrame:
+    """Table materialisation: write a model as parquet and read it back.
+
+    Later models then start from the written table, which cuts the lineage
+    there (a lost executor recomputes from the file, not from the sources).
+    """
+    ctx.ref(name).write.mode("overwrite").parquet(path)
+    df = ctx.spark.read.parquet(path)
+    ctx._cache[name] = df
+    return df
+
+
+def preview(df: DataFrame, n: int = 5, enabled: bool = False) -> None:
+    """Optional sample print of a frame (off by default: it is an extra job)."""
+    if enabled:
+        df.printSchema()
+        df.limit(n).show(truncate=False)

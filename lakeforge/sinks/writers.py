@@ -65,3 +65,16 @@ def append_to_table(incoming: DataFrame, table: str) -> None:
     spark = incoming.sparkSession
     target = spark.table(table).schema
     align_by_name(incoming, target).write.mode("append").insertInto(table)
+
+
+def write_observed(df: DataFrame, path: str, name: str, mode: str = "overwrite") -> int:
+    """Write ``df`` and return its row count, taken by the write itself.
+
+    ``Observation`` collects the metric while the rows stream to the sink, so
+    the count does not cost a second pass over the data.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    return int(obs.get["rows"])
