@@ -22,6 +22,31 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores_total: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle sizing for a large cluster, derived from the input volume.
+
+    The initial shuffle partition count is sized so that one reducer gets about
+    ``target_partition_bytes`` of map output if nothing is reduced map-side
+    (at least two waves of the available cores); AQE then coalesces small
+    partitions towards the advisory size and splits skewed ones. At 100 TB
+    this is ~400,000 partitions, handled by AQE coalescing rather than
+    hand-tuning per query.
+    """
+    parts = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        # runtime broadcast of a join side only below this measured size
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "lakeforge", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
