@@ -144,3 +144,24 @@ def test_streaming_bronze_and_silver(spark, tmpdir_run):
     cur = read_current(spark, silver, "customers")
     assert cur.count() == cust.select("customer_id").distinct().count()
     assert cur.where("customer_id = 10").first().city.endswith("moved")
+
+
+def test_cli_over_written_bronze_matches_fixture_run(spark, tmpdir_run):
+    from lakeforge.__main__ import main
+    from lakeforge.plans.catalog import CATALOG
+    from lakeforge.plans.registry import fixture_context
+    from lakeforge.sinks.writers import write_bronze
+    bronze = os.path.join(tmpdir_run, "bronze")
+    for t in SPECS:
+        write_bronze(fixtures.adapter(spark, SF_SMALL, t), bronze, t)
+    fx = os.path.join(tmpdir_run, "fx")
+    fixtures.fx_rates_raw(spark).write.option("header", True).csv(fx)
+    out = os.path.join(tmpdir_run, "gold")
+    main(["--bronze", bronze, "--fx", fx, "--out", out,
+          "--models", "gold_sales_analytics", "expectation_report"])
+    got = spark.read.parquet(f"{out}/gold_sales_analytics")
+    want = CATALOG["gold_sales_analytics"](fixture_context(spark, SF_SMALL))
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    rep = spark.read.parquet(f"{out}/expectation_report")
+    assert rep.where("NOT passed").count() == 0
