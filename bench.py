@@ -28,6 +28,7 @@ HEADLINE = [
     "gold_customer_analytics",
     "gold_product_analytics",
     "top_products_by_revenue",
+    "expectation_report",
 ]
 
 

@@ -78,12 +78,40 @@ CORE_EXPECTATIONS = [
 # --- end of fixed values -------------------------------------------------------
 
 
-def run_expectations(ref, expectations: Sequence[Expectation]) -> DataFrame:
+def run_expectations(ref, expectations: Sequence[Expectation],
+                     scratch: str | None = None) -> DataFrame:
     """One row per test: test_name, kind, model, column_name, failures, passed.
 
     Failing rows are counted, never collected; unique tests count duplicated
     keys, the others count failing rows.
+
+    With ``scratch`` (a folder in the cluster's shared checkpoint location),
+    every model used by more than one test is computed once and written there,
+    narrowed to the tested columns; the tests then read those files. Without
+    it each test re-plans its model (branches with different projections do
+    not share shuffles).
     """
+    if scratch:
+        needed: dict[str, set[str]] = {}
+        uses: dict[str, int] = {}
+        for e in expectations:
+            needed.setdefault(e.model, set()).add(e.column)
+            uses[e.model] = uses.get(e.model, 0) + 1
+            if e.kind == "relationships":
+                needed.setdefault(e.to, set()).add(e.field)
+                uses[e.to] = uses.get(e.to, 0) + 1
+        written: dict[str, DataFrame] = {}
+        for m, cols in needed.items():
+            if uses[m] < 2:
+                continue
+            path = f"{scratch.rstrip('/')}/{m}"
+            ref(m).select(*sorted(cols)).write.mode("overwrite").parquet(path)
+            written[m] = ref(m).sparkSession.read.parquet(path)
+        base_ref = ref
+
+        def ref(m):  # noqa: F811 - written copies first
+            return written[m] if m in written else base_ref(m)
+
     parts = []
     for e in expectations:
         cnt = e.failures(ref).agg(F.count(F.lit(1)).alias("failures"))

@@ -4,6 +4,7 @@ and is registered in the catalog under the inventory's key."""
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -22,6 +23,7 @@ from ..sinks.writers import append_by_name
 from ..sources import fx as FXS
 from ..sources.extract import read_incremental
 from ..sources.files import latest_batch
+from ..session import scratch_path
 from ..sources.watermark import advance_watermark, get_watermark
 from .bronze import with_lineage
 from .catalog import entry
@@ -72,7 +74,9 @@ def not_null_core(ctx: Context) -> DataFrame:
 
 @entry("expectation_report")
 def expectation_report(ctx: Context) -> DataFrame:
-    return run_expectations(ctx.ref, CORE_EXPECTATIONS)
+    """The 13 column tests; shared models are written once to the checkpoint folder."""
+    scratch = scratch_path(ctx.spark, f"expectations-{uuid.uuid4().hex}")
+    return run_expectations(ctx.ref, CORE_EXPECTATIONS, scratch=scratch)
 
 
 @entry("raw_checks")
