@@ -50,8 +50,10 @@ def main() -> None:
     for k in keys:
         samples = []
         for i in range(runs + 1):
-            df = CATALOG[k](fixture_context(spark, sf_dir))
+            # timed from plan construction: eager work done while building
+            # (size checks, shared models written once) is part of the query
             t0 = time.perf_counter()
+            df = CATALOG[k](fixture_context(spark, sf_dir))
             df.write.format("noop").mode("overwrite").save()
             if i:
                 samples.append(time.perf_counter() - t0)

@@ -8,13 +8,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# --- fixed values --------------------------------------------------------------
+# A side whose optimizer size estimate is at most this is broadcast without a job.
+ESTIMATE_BYTES_LIMIT = 8 << 20
+# --- end of fixed values -------------------------------------------------------
+
+
+def _estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no estimate available
+        return None
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking that it holds at most ``max_rows`` rows.
+    """Broadcast ``df`` only after checking its size.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned unchanged and the planner falls back to a shuffle join (with AQE
+    First the optimizer's size estimate (from file sizes or local data, no
+    job): a small estimate is accepted directly. Otherwise the rows are
+    counted, reading at most ``max_rows + 1``. Beyond the bound the frame is
+    returned unchanged and the planner falls back to a shuffle join (AQE is
     still free to broadcast it from runtime statistics).
     """
+    est = _estimated_bytes(df)
+    if est is not None and est <= ESTIMATE_BYTES_LIMIT:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -68,10 +68,12 @@ def fixture_context(spark: SparkSession, sf_dir: str, **options) -> Context:
     """Context whose bronze tables are the fixture adapters over ``sf_dir``."""
     from ..sources import fixtures
 
+    memo: dict = {}
+
     def bronze(name: str) -> DataFrame:
         if name == "fx_rates":
             return fixtures.fx_rates_raw(spark)
-        return fixtures.adapter(spark, sf_dir, name)
+        return fixtures.adapter(spark, sf_dir, name, memo)
 
     return Context(spark, bronze, dict(options))
 

@@ -147,39 +147,44 @@ def columns(adapter: str, ts_type: str) -> list[tuple[str, str]]:
     return [(n, e.replace("{TS}", ts_type)) for n, e in cols + lineage]
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def _read(spark: SparkSession, sf_dir: str, table: str, memo: dict | None = None) -> DataFrame:
+    """One test table; with ``memo`` each file is opened (listed, footer read) once."""
+    if memo is None:
+        return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    if table not in memo:
+        memo[table] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return memo[table]
 
 
-def _source(spark: SparkSession, sf_dir: str, adapter: str) -> DataFrame:
+def _source(spark: SparkSession, sf_dir: str, adapter: str, memo: dict | None = None) -> DataFrame:
     if adapter == "customers":
-        nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        return _read(spark, sf_dir, "customer").join(
+        nation = _read(spark, sf_dir, memo=memo, table="nation").select("n_nationkey", "n_name")
+        return _read(spark, sf_dir, memo=memo, table="customer").join(
             F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
     if adapter == "products":
-        return _read(spark, sf_dir, "part")
+        return _read(spark, sf_dir, memo=memo, table="part")
     if adapter == "stores":
-        nation = _read(spark, sf_dir, "nation")
-        region = _read(spark, sf_dir, "region")
+        nation = _read(spark, sf_dir, memo=memo, table="nation")
+        region = _read(spark, sf_dir, memo=memo, table="region")
         geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-        return _read(spark, sf_dir, "supplier").join(
+        return _read(spark, sf_dir, memo=memo, table="supplier").join(
             F.broadcast(geo.select("n_nationkey", "n_name", "r_name")),
             F.col("s_nationkey") == F.col("n_nationkey"))
     if adapter in ("orders", "payments"):
-        return _read(spark, sf_dir, "orders")
+        return _read(spark, sf_dir, memo=memo, table="orders")
     if adapter == "order_items":
-        return _read(spark, sf_dir, "lineitem")
+        return _read(spark, sf_dir, memo=memo, table="lineitem")
     raise KeyError(adapter)
 
 
-def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def adapter(spark: SparkSession, sf_dir: str, name: str, memo: dict | None = None) -> DataFrame:
     """One adapter table (bronze-shaped, both batches) as a DataFrame.
 
     nation/region are the fixed 25/5-row TPC-H reference tables, so broadcasting
     them is bounded by construction.
     """
     _, version_key = ADAPTERS[name]
-    df = _source(spark, sf_dir, name)
+    df = _source(spark, sf_dir, name, memo)
     if version_key:
         # v = 1 for every key; v = 2 (a later batch) for keys that are multiples of ten
         df = df.withColumn(
