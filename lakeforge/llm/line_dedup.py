@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import BloomFilter, written
 
 
 def _ends(window: int, divisor: int, seed: int) -> Column:
@@ -59,10 +59,13 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
                      .select("_key", "c.*").distinct(), "chunks")
     again = written(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"),
                     "repeated-chunks")
-    suspects = (chunks.join(again, "h").groupBy("_key")
-                .agg(F.collect_list(F.struct("a", "z", "h")).alias("_c")))
-    spelled = (keyed.select("_key", F.col(id_col).alias("_id"), lines.alias("_lines"))
-               .join(written(suspects, "suspects"), "_key")
+    suspects = written(chunks.join(again, "h").groupBy("_key")
+                       .agg(F.collect_list(F.struct("a", "z", "h")).alias("_c")), "suspects")
+    # Bloom filters of the keys keep the texts of other documents out of the shuffles
+    near = BloomFilter.of(suspects, "_key").probe(
+        keyed.select("_key", F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_key", "_may")
+    spelled = (near.where("_may").join(suspects, "_key")
+               .withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
                .select("_key", "_id", "_lines", F.explode("_c").alias("c"))
                .select("_key", "_id", "c.*", F.expr("array_join(slice(_lines, c.a + 1, c.z - c.a + 1), '\n')")
                        .alias("chunk"))
@@ -75,13 +78,15 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
                    & ((F.col("_key") != F.col("f._key")) | (F.col("a") != F.col("f.a"))))
             .groupBy("_key").agg(F.collect_set(F.struct("a", "z")).alias("_gone"))
             .withColumnRenamed("_key", "_gone_key"))
+    gone = written(gone, "removed")
+    rows = BloomFilter.of(gone, "_gone_key").probe(keyed, "_key", "_may").withColumn("_lines", lines)
+    rows = rows.withColumn("lines_before", F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_lines")))
+    untouched = rows.where("not _may").withColumn("lines_removed", F.lit(0))
     left = F.expr("filter(_lines, (x, i) -> not exists(_gone, g -> i between g.a and g.z))")
-    return (keyed.join(written(gone, "removed"), F.col("_key") == F.col("_gone_key"), "left")
-            .withColumn("_lines", lines)
-            .withColumn("_left", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(left))
-            .withColumn("lines_before", F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_lines")))
-            .withColumn("lines_removed", F.when(F.col("_gone").isNull(), 0)
-                        .otherwise(F.size("_lines") - F.size("_left")))
-            .withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col))
-                        .otherwise(F.array_join("_left", "\n")))
-            .drop("_key", "_gone_key", "_gone", "_lines", "_left"))
+    lost = F.col("_gone").isNotNull()
+    touched = (rows.where("_may").join(gone, F.col("_key") == F.col("_gone_key"), "left")
+               .withColumn("_left", F.when(lost, left).otherwise(F.col("_lines")))
+               .withColumn("lines_removed", F.size("_lines") - F.size("_left"))
+               .withColumn(text_col, F.when(lost, F.array_join("_left", "\n")).otherwise(F.col(text_col)))
+               .drop("_gone_key", "_gone", "_left"))
+    return untouched.unionByName(touched).drop("_key", "_lines", "_may")
