@@ -50,12 +50,13 @@ class Router:
 
 def _nearest(x: np.ndarray, k: int) -> np.ndarray:
     """Indices of the k nearest other rows, computed in blocks."""
+    x = x.astype(np.float32)
     square = (x * x).sum(1)
     out = []
-    for at in range(0, len(x), 512):
-        d = square[None, :] - 2 * x[at:at + 512] @ x.T
+    for at in range(0, len(x), 128):
+        d = square[None, :] - 2 * x[at:at + 128] @ x.T
         d[np.arange(len(d)), np.arange(at, at + len(d))] = np.inf
-        out.append(np.argpartition(d, k - 1, axis=1)[:, :k])
+        out.append(np.argpartition(d, k - 1, axis=1)[:, :k].copy())
     return np.concatenate(out)
 
 
@@ -206,10 +207,10 @@ def search(df: DataFrame, query_every: int = 100, k: int = 10, id_col: str = "ve
     rows = usable(df, id_col, vector_col).withColumn("row", F.monotonically_increasing_id())
     rows = written(rows.select("vec_id", "row", "embedding"), "vectors")
     # at most SAMPLE vectors come to the driver, chosen by a hash
-    sample = (rows.orderBy(F.xxhash64("vec_id", "row"), "row").limit(SAMPLE).select("embedding").collect())
-    if not sample:
+    sample = rows.orderBy(F.xxhash64("vec_id", "row"), "row").limit(SAMPLE).select("embedding").toPandas()
+    if sample.empty:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    router = learn(np.array([r[0] for r in sample], np.float64), k, parts)
+    router = learn(np.stack(sample["embedding"].to_numpy()).astype(np.float64), k, parts)
     shape = "vec_id long, row long, part int, embedding array<double>"
     index = written(rows.mapInPandas(_routed(router, 1), shape), "index")
     asked = rows.where(F.col("vec_id") % query_every == 0)
