@@ -64,12 +64,12 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     # Bloom filters of the keys keep the texts of other documents out of the shuffles
     near = BloomFilter.of(suspects, "_key").probe(
         keyed.select("_key", F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_key", "_may")
-    spelled = (near.where("_may").join(suspects, "_key")
+    spelled = (near.where("_may").join(suspects, "_key").dropDuplicates(["_key"])
                .withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
                .select("_key", "_id", "_lines", F.explode("_c").alias("c"))
                .select("_key", "_id", "c.*", F.expr("array_join(slice(_lines, c.a + 1, c.z - c.a + 1), '\n')")
                        .alias("chunk"))
-               .where(F.length("chunk") >= min_chars).distinct())
+               .where(F.length("chunk") >= min_chars))
     spelled = written(spelled, "occurrences")
     first = written(spelled.groupBy("h").agg(F.min(F.struct("_id", "_key", "a", "chunk")).alias("f"),
                                              F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "first")
