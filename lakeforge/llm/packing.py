@@ -27,6 +27,8 @@ from .common import written
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k"
+#: Tokens that a Python worker hands back at once, about.
+OUT_TOKENS = 1 << 20
 #: Offsets (one row for each length in each split) are broadcast up to this count.
 BROADCAST_OFFSETS = 1 << 20
 #: Outside of these characters the encoders could follow different Unicode tables; such
@@ -35,36 +37,42 @@ _PLAIN = regex.compile("[\t\n\r -~¡-ɏ]*")
 
 
 @lru_cache(maxsize=4)
-def _encoders(vocabulary: str):
-    """The fast encoder over the vocabulary's ranks, and the reference one over its JSON file."""
+def _fast(vocabulary: str):
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+    return tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                              special_tokens={})
+
+
+@lru_cache(maxsize=4)
+def _reference(vocabulary: str):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
     exact = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
     exact.encode_special_tokens = True
-    return fast, exact
+    return exact
 
 
 def encode(text: str | None, vocabulary: str = VOCABULARY) -> list[int]:
     """Token ids of a whole text, as the vocabulary's JSON tokenizer gives them."""
     text = text or ""
-    fast, exact = _encoders(vocabulary)
     if _PLAIN.fullmatch(text):
-        return fast.encode_ordinary(text)
-    return exact.encode(text, add_special_tokens=False).ids
+        return _fast(vocabulary).encode_ordinary(text)
+    return _reference(vocabulary).encode(text, add_special_tokens=False).ids
 
 
 def _tokenised(capacity: int, end_id: int, vocabulary: str):
+    columns = ["id", "piece", "start", "length", "ids", "task", "nth"]
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get().partitionId()
         met: dict[int, int] = defaultdict(int)
+        rows, held = [], 0
         for batch in batches:
-            rows = []
             for doc, text in zip(batch["id"], batch["text"], strict=True):
                 ids = np.array([*encode(text, vocabulary), end_id], "<u4")
                 start, piece = 0, 0
@@ -74,7 +82,11 @@ def _tokenised(capacity: int, end_id: int, vocabulary: str):
                                  met[length]))
                     met[length] += 1
                     start, piece = start + length, piece + 1
-            yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids", "task", "nth"])
+                held += len(ids)
+                if held > OUT_TOKENS:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, held = [], 0
+        yield pd.DataFrame(rows, columns=columns)
     return cut
 
 
