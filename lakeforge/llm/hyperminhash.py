@@ -36,7 +36,9 @@ BLOCK = 256
 #: Expected share of equal registers of two unrelated sets of one size, times 2 ** MANTISSA_BITS.
 RANDOM_MATCH = 0.1699
 #: Distinct words whose hashes a Python worker remembers.
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
+#: Rows that a Python worker hands back at once.
+OUT_ROWS = 1000
 
 _ASCII_LOWER = bytes(range(256)).lower()
 
@@ -95,21 +97,28 @@ def estimate_floor(percent: int, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return t - 5 * np.sqrt(t * (1 - t) / np.minimum(BUCKETS, np.minimum(n, m)))
 
 
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), OUT_ROWS):
+            yield batch.iloc[at:at + OUT_ROWS]
+
+
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = _WordHashes()
-    for batch in batches:
-        made = [shingles(t, hashes) for t in batch["text"]]
-        yield pd.DataFrame({
-            "id": batch["id"], "row_key": batch["row_key"],
-            "digest": [d for _, d in made], "n": [len(s) for s, _ in made],
-            "regs": [registers(s) if len(s) else np.empty(0, np.int32) for s, _ in made]})
+    for rows in _slices(batches):
+        out = []
+        for text in rows["text"]:
+            found, digest = shingles(text, hashes)
+            out.append((digest, len(found), registers(found) if len(found) else np.empty(0, np.int32)))
+        yield pd.DataFrame({"id": rows["id"].to_numpy(), "row_key": rows["row_key"].to_numpy(),
+                            "digest": [x[0] for x in out], "n": [x[1] for x in out], "regs": [x[2] for x in out]})
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = _WordHashes()
-    for batch in batches:
-        yield pd.DataFrame({"node": batch["digest"],
-                            "sh": [shingles(t, hashes)[0].view(np.int64) for t in batch["text"]]})
+    for rows in _slices(batches):
+        yield pd.DataFrame({"node": rows["digest"].to_numpy(),
+                            "sh": [shingles(t, hashes)[0].view(np.int64) for t in rows["text"]]})
 
 
 def _block_pairs(percent: int):
