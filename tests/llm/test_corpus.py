@@ -1,0 +1,352 @@
+"""Corpus operators against DuckDB, brute force and planted cases; hard inputs of every kind."""
+
+import random
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from lakeforge.llm import (compression_quality, exact_dedup, hyperminhash, line_dedup, mixing, neighbours,
+                           packing, perspectives, secret_scan, warc)
+from lakeforge.llm.queries import ORACLE, QUERIES, held_out
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, score string, size string"
+LONG = "wort " * 60_000
+ROWS = [(None, None), (1, None), (2, ""), (3, "a b"), (3, "a b"), (4, LONG), (5, LONG), (6, "a b"),
+        (7, "one two three four five six\nseven eight nine ten eleven\npassword=1cfe32532b58a53af4 and on"),
+        (7, "one two three four five six\nseven eight nine ten eleven\npassword=1cfe32532b58a53af4 and on")]
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    rows = [(i, t, None, s, None, "x", "y", "z")
+            for (i, t), s in zip(ROWS, ["b", None, "a", "b", "b", "c", "c", None, "a", "a"], strict=True)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def _canon(v):
+    return repr(float(v)) if isinstance(v, float) else None if v is None else str(v)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    found, want = QUERIES[name](spark, SF).toArrow(), con.sql(ORACLE[name]).to_arrow_table()
+    cols = sorted(found.column_names)
+    assert cols == sorted(want.column_names)
+    rows = [Counter(zip(*[[_canon(v) for v in t.column(c).to_pylist()] for c in cols], strict=True))
+            for t in (found, want)]
+    assert rows[0] == rows[1]
+
+
+def test_exact_dedup_of_hard_rows(hard, none):
+    rows = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(hard).collect()}
+    assert rows == {(None, 2, 3, False), (1, 2, 3, False), (2, 2, 3, True), (3, 6, 3, False), (6, 6, 3, True),
+                    (4, 5, 2, False), (5, 5, 2, True), (7, 7, 2, True)}
+    assert exact_dedup.exact_dedup(none).count() == 0
+
+
+def test_mix_of_hard_rows(spark, hard, none):
+    rows = mixing.mix_sources(hard).collect()
+    assert len(rows) == len(ROWS) and all(r.taken <= 2 * r["size"] for r in rows)
+    assert {r.taken for r in rows if r.text in (None, "")} == {0}
+    assert mixing.mix_sources(none).count() == 0
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', 1 + cast(id % 50 as int))")
+                                    .alias("text"), F.expr("if(id % 3 = 0, 'hot', 's' || id % 7)").alias("source"))
+    mixed = mixing.mix_sources(many).groupBy("source", "target").agg(F.sum("taken").alias("t")).collect()
+    assert all(abs(r.t - r.target) <= 50 for r in mixed)
+
+
+def _brute_components(rows, percent=85):
+    sets = {}
+    for i, t in rows:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t).split()
+        sets[i] = {tuple(w[j:j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def test_near_duplicates_of_families_and_chains(spark):
+    """A family of edited copies without its base, a chain of copies of copies, short texts."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = []
+    base = [word() for _ in range(150)]
+    for _ in range(120):
+        copy = list(base)
+        for _ in range(rng.randint(1, 7)):
+            copy[rng.randrange(150)] = word()
+        texts.append(" ".join(copy))
+    link = [word() for _ in range(80)]
+    for _ in range(25):
+        link[rng.randrange(80)] = word()
+        texts.append(" ".join(link))
+    for n in range(1, 30):
+        short = [word() for _ in range(n)]
+        texts += [" ".join(short), " ".join(short).upper() + " ", " ".join([*short, word()])]
+    texts += [" ".join(word() for _ in range(60)) for _ in range(60)]
+    rows = list(enumerate(rng.sample(texts, len(texts))))
+    found = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == _brute_components(rows)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_near_duplicates_of_hard_rows(hard, none):
+    rows = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in hyperminhash.near_duplicates(hard).collect()}
+    assert rows == {(None, 0, None, True), (1, 0, 1, True), (2, 0, 2, True), (3, 1, 3, True), (6, 1, 3, False),
+                    (4, 1, 4, True), (5, 1, 4, False), (7, 10, 7, True)}
+    assert hyperminhash.near_duplicates(none).count() == 0
+
+
+def test_estimate_corrects_chance_matches():
+    rng = np.random.default_rng(1)
+    one, two = (np.sort(rng.integers(0, 2**64, 4000, dtype=np.uint64)) for _ in range(2))
+    both = np.unique(np.concatenate([one[:2000], two]))
+    a, b = hyperminhash.registers(np.unique(np.concatenate([one, two]))), hyperminhash.registers(both)
+    est = hyperminhash.similarity_estimate(np.array([(a == b).sum()]), np.array([8000]), np.array([6000]))[0]
+    assert abs(est - 0.75) < 0.15
+
+
+def _hash(*longs):
+    seed = 42
+    for x in longs:
+        data = int(x).to_bytes(8, "little", signed=True) if not isinstance(x, str) else x.encode()
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >= 1 << 63 else seed
+
+
+def _brute_lines(rows, window=2, divisor=2, phases=4, min_lines=2, min_chars=40):
+    """Removed lines by (id, text): the chunks counted in a plain dictionary."""
+    places = defaultdict(list)
+    for i, t in sorted(set(rows), key=lambda r: (r[0], r[1])):
+        lines = t.split("\n")
+        h = [_hash(x) for x in lines]
+        for phase in range(phases):
+            start = 0
+            for at in range(len(lines)):
+                back = [h[at - j] if at >= j else 0 for j in range(window)]
+                seed = 42
+                for x in back:
+                    seed = xxhash.xxh64_intdigest(int(x).to_bytes(8, "little", signed=True), seed)
+                seed = xxhash.xxh64_intdigest(phase.to_bytes(4, "little"), seed)
+                if seed % divisor == 0 or at == len(lines) - 1:
+                    chunk = "\n".join(lines[start:at + 1])
+                    if at + 1 - start >= min_lines and len(chunk) >= min_chars:
+                        places[chunk].append((i, t, start, at))
+                    start = at + 1
+    gone = defaultdict(set)
+    for found in places.values():
+        for i, t, a, z in set(found) - {min(found, key=lambda p: (p[0], p[2]))}:
+            gone[i, t] |= set(range(a, z + 1))
+    return gone
+
+
+def test_line_dedup_matches_brute_force(spark):
+    rng = random.Random(9)
+    line = lambda: " ".join("".join(rng.choices("abcdef", k=5)) for _ in range(9))
+    shared = [[line() for _ in range(rng.randint(2, 9))] for _ in range(6)]
+    rows = []
+    for i in range(150):
+        lines = [line() for _ in range(rng.randint(0, 6))]
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randint(0, len(lines))
+            lines[at:at] = rng.choice(shared)
+        rows.append((i, "\n".join(lines)))
+    rows += rows[:3]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    gone = _brute_lines(rows)
+    want = Counter((i, "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i, t]), len(gone[i, t]))
+                   for i, t in rows)
+    assert Counter((r.doc_id, r.text, r.lines_removed) for r in found) == want
+    assert sum(len(g) for g in gone.values()) > 200
+
+
+def test_line_dedup_of_hard_rows(hard, none):
+    rows = line_dedup.dedup_lines(hard).collect()
+    assert len(rows) == len(ROWS) and Counter((r.doc_id, r.text) for r in rows) == Counter(ROWS)
+    assert {r.lines_before for r in rows if r.text is None} == {0}
+    assert line_dedup.dedup_lines(none).count() == 0
+
+
+def _plain_best_fit(lengths, capacity):
+    bins = []
+    for n in sorted(lengths, reverse=True):
+        fits = [i for i, room in enumerate(bins) if room >= n]
+        if fits:
+            bins[min(fits, key=lambda i: bins[i])] -= n
+        else:
+            bins.append(capacity - n)
+    return len(bins)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_placements_are_best_fit_decreasing(seed):
+    rng = random.Random(seed)
+    lengths = [rng.randint(1, rng.choice([8, 40, 64])) for _ in range(rng.randint(1, 400))]
+    placed = packing.best_fit(Counter(lengths), 64)
+    room, filled = Counter(), defaultdict(list)
+    for length, n in Counter(lengths).items():
+        runs = sorted(p for p in placed if p[0] == length)
+        for k in range(n):
+            _, first, sequence, each, offset = max(r for r in runs if r[1] <= k)
+            at = sequence + (k - first) // each
+            room[at] += length
+            filled[at].append((offset + (k - first) % each * length, length))
+    assert max(room.values()) <= 64 and len(room) == _plain_best_fit(lengths, 64)
+    for pieces in filled.values():
+        assert [o for o, _ in sorted(pieces)] == list(np.cumsum([0] + [n for _, n in sorted(pieces)])[:-1])
+
+
+def test_packing_round_trip(hard, none):
+    rows = packing.pack(hard).collect()
+    docs = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.doc_id or -1, r.piece)):
+        docs[r.doc_id].append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
+    for i, t in ((4, LONG), (2, ""), (None, None)):
+        ids = [x for start, part in docs[i] for x in part]
+        assert ids == [*packing._reference("byte_bpe_50k").encode(t or "", add_special_tokens=False).ids, 2]
+    assert all(r.length == 1024 for r in rows if r.doc_id == 4 and r.piece)
+    assert packing.pack(none).count() == 0
+    for text in ("<|endoftext|> x", "naïve café  x", "\x1c\x85 日本語 १२", "a" * 3000, "ß²¼ª\t\r\n  z  "):
+        assert packing.encode(text) == packing._reference("byte_bpe_50k").encode(text, add_special_tokens=False).ids
+
+
+def test_search_recall_and_hard_vectors(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 16))[rng.integers(0, 40, 5000)] + rng.normal(size=(5000, 16)) * 0.6
+    x[1000:2500] = x[100]  # a very common vector
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    bad = [(6000, None), (6100, [0.0] * 16), (6200, [float("nan")] * 16), (6300, [1.0, 2.0]), (None, [1.0] * 16),
+           (6400, [float("inf")] * 16), (6500, [])]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>").withColumn("rank", F.lit("x"))
+    found = neighbours.search(df).toPandas()
+    hit = 0
+    for q, g in found.groupby("query_id"):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        best = np.lexsort((np.arange(5000), d))[:10]
+        hit += len(set(best) & set(g.vec_id))
+        assert np.allclose(g.sort_values("rank").score, d[g.sort_values("rank").vec_id], rtol=1e-12)
+    assert len(found) == 500 and hit >= 0.9 * 500
+    common = found[found.query_id == 1000].sort_values("rank").vec_id.tolist()
+    assert common == [100, *range(1001, 1010)]
+    assert neighbours.search(df.where("vec_id > 5999")).count() == 0
+    few = neighbours.search(df.where("vec_id < 4")).collect()
+    assert [r.vec_id for r in few] and len(few) == 3
+
+
+def test_warc_round_trip(spark, tmp_path):
+    pages = [(1, "http://a/", "x\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc"), (2, None, None), (3, "u\r\nv", ""),
+             (4, "http://b", "same"), (5, "http://c", "same"), (5, "http://c", "same"), (None, "http://d", "same"),
+             (6, "http://e", "é" * 100_000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("response", F.lit("x"))
+    got = warc.round_trip(df).collect()
+    assert len(got) == len(pages) and all(r.request and r.metadata for r in got)
+    kinds = Counter((r.metadata.payload.decode(), r.response.type) for r in got)
+    assert kinds[("page: 4\r\n", "response")] == 1 and kinds[("page: 5\r\n", "revisit")] == 2
+    assert kinds[("page: \r\n", "revisit")] == 1 and kinds[("page: 3\r\n", "revisit")] == 1
+    for r in got:
+        text = dict((i, h) for i, _, h in pages).get(int(r.metadata.payload[6:].strip() or -1)) or ""
+        if r.response.type == "response":
+            assert bytes(r.response.payload).decode() == text
+            assert r.response.computed_digest == r.response.payload_digest
+        assert r.response.http_length == len(("same" if r.metadata.payload == b"page: \r\n" else text).encode())
+    assert {r.response.type for r in warc.round_trip(df, min_bytes=10**9).collect()} == {"response"}
+    assert warc.round_trip(df.where("false")).count() == 0
+
+
+def test_perspectives_of_hard_turns(spark):
+    turns = [(1, 0, "system", "be brief"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob b", None), (1, 2, "bob b", None),
+             (1, None, None, "who"), (None, 0, "ann", "alone"), (2, 0, "system", "no one")]
+    turns += [(3, t, f"p{t % 3}", f"turn {t}") for t in range(200)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("at", F.lit(1))
+    rows = perspectives.rotate_perspectives(df).collect()
+    keys = Counter((r.conv_id, r.participant) for r in rows)
+    assert keys == {(1, "ann"): 1, (1, "bob b"): 1, (None, "ann"): 1, (3, "p0"): 4, (3, "p1"): 4, (3, "p2"): 4}
+    one = next(r for r in rows if (r.conv_id, r.participant) == (1, "ann"))
+    assert one.text == ("<|im_start|>user name=unknown\nwho<|im_end|>\n<|im_start|>system\nbe brief<|im_end|>\n"
+                        "<|im_start|>assistant\nhi <im_end><|im_end|>\n"
+                        + "<|im_start|>user name=bob_b\n<|im_end|>\n" * 2)
+    assert [one.text[s.start:s.stop] for s in one.loss_spans] == ["hi <im_end><|im_end|>"]
+    for r in rows:
+        if r.conv_id == 3:
+            said = [r.text[s.start:s.stop] for s in r.loss_spans]
+            assert said == [f"turn {t}<|im_end|>" for t in range(64 * r.window, min(200, 64 * r.window + 64))
+                            if f"p{t % 3}" == r.participant]
+    assert perspectives.rotate_perspectives(df.where("false")).count() == 0
+
+
+def test_quality_on_held_out_labels(spark, hard, none):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = compression_quality.fit(docs, labels, held_out())
+    rows = compression_quality.classify(docs, model).join(labels, "doc_id").where(held_out()).collect()
+    assert sum(r.predicted == r.quality for r in rows) >= 0.93 * len(rows)
+    scored = compression_quality.classify(hard, model).collect()
+    assert len(scored) == len(ROWS) and all(0 <= r.score <= 1 for r in scored)
+    assert compression_quality.classify(none, model).count() == 0
+    alone = compression_quality.fit(none, labels.where("false"), held_out())
+    assert {r.score for r in compression_quality.classify(hard, alone).collect()} == {0.5}
+
+
+def test_quality_reads_no_held_out_label(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    other = labels.withColumn("quality", F.when(held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert compression_quality.fit(docs, labels, held_out()) == compression_quality.fit(docs, other, held_out())
+
+
+def test_secrets_planted(spark, hard, none):
+    rng = random.Random(2)
+    hexa = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    rows = []
+    for i in range(300):
+        rows.append((i, f'erst the in token = "{hexa(40)}" und die', "src/app"))
+        rows.append((1000 + i, f"and the of {rng.randrange(10**15, 10**16)} or by", "src/app"))
+        rows.append((2000 + i, f"the on checksum {hexa(40)} of it", "docs/x"))
+    found = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(found) == 900 and all(r.is_secret == (r.doc_id < 1000) for r in found)
+    told = spark.createDataFrame([(i, 5, True) for i in range(0, 300, 2)] + [(1000 + i, 3, False) for i in
+                                 range(0, 300, 2)] + [(1000, 3, None)], "doc_id long, position int, is_secret boolean")
+    found = secret_scan.scan(spark.createDataFrame(rows[:600], "doc_id long, text string, source string"), told)
+    assert all(r.is_secret for r in found.where("doc_id < 200").collect())
+    kept = secret_scan.scan(hard).collect()
+    assert Counter((r.doc_id, r.candidate) for r in kept) == {(7, "1cfe32532b58a53af4"): 2}
+    assert secret_scan.scan(none).count() == 0
+
+
+def test_pipeline_stages_on_hard_rows(spark, hard, none, tmp_path):
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "line_dedup", "minhash_near_dedup",
+                                                      "mix_sources", "best_fit_packing"]
+    for docs in (hard.select(cols), none.select(cols)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == cols, name
+            rows = out.collect()
+            if name == "minhash_near_dedup" and docs.count():
+                assert Counter(r.doc_id for r in rows) == Counter([None, 1, 2, 3, 4, 7])
+        assert corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).count() == (0 if docs.isEmpty() else
+               sum(-(-len([*packing.encode(t), 2]) // 1024) for _, t in ROWS))
