@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values: money types ------------------------------------------------
 ROW_MONEY = "decimal(18,4)"
-# --- end of fixed values -------------------------------------------------------
 
 
 def _c(col: str | Column) -> Column:

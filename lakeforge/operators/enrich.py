@@ -5,25 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
-
-# --- fixed values --------------------------------------------------------------
-# An ISO-4217 rate table has under 200 currencies; beyond this bound the rate
-# table is not broadcast.
-MAX_BROADCAST_RATES = 10_000
-# --- end of fixed values -------------------------------------------------------
-
 
 def enrich_fx(orders: DataFrame, rates: DataFrame, code_col: str = "currency_code",
               target_col: str = "target_currency", rate_col: str = "exchange_rate") -> DataFrame:
     """Attach the exchange rate of each row's currency (LEFT join: unmatched keep NULL).
 
     ``rates`` must be unique on ``target_col`` (deduplicate first, or an order
-    fans out); it is broadcast after a size check, so the large side is never
-    shuffled for this join.
+    fans out). No hint is given: Spark broadcasts a rate table below its size
+    threshold, by the optimizer's estimate or the size met at run time.
     """
-    r = bounded_broadcast(rates.select(F.col(target_col).alias("__fx_target"), rate_col),
-                          MAX_BROADCAST_RATES)
+    r = rates.select(F.col(target_col).alias("__fx_target"), rate_col)
     return (orders.join(r, F.col(code_col) == F.col("__fx_target"), "left")
             .drop("__fx_target"))
 

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, orphan detection, loss reports."""
+"""Join helpers: orphan detection."""
 
 from __future__ import annotations
 
@@ -8,35 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# --- fixed values --------------------------------------------------------------
-# A side whose optimizer size estimate is at most this is broadcast without a job.
-ESTIMATE_BYTES_LIMIT = 8 << 20
-# --- end of fixed values -------------------------------------------------------
-
-
-def _estimated_bytes(df: DataFrame) -> int | None:
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no estimate available
-        return None
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking its size.
-
-    First the optimizer's size estimate (from file sizes or local data, no
-    job): a small estimate is accepted directly. Otherwise the rows are
-    counted, reading at most ``max_rows + 1``. Beyond the bound the frame is
-    returned unchanged and the planner falls back to a shuffle join (AQE is
-    still free to broadcast it from runtime statistics).
-    """
-    est = _estimated_bytes(df)
-    if est is not None and est <= ESTIMATE_BYTES_LIMIT:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def orphans(child: DataFrame, fk: str | Sequence[str], parent: DataFrame,
             pk: str | Sequence[str] | None = None) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent row (``left_anti``).
@@ -45,7 +16,7 @@ def orphans(child: DataFrame, fk: str | Sequence[str], parent: DataFrame,
     """
     fk = [fk] if isinstance(fk, str) else list(fk)
     pk = fk if pk is None else ([pk] if isinstance(pk, str) else list(pk))
-    parent_keys = parent.select(*[F.col(p).alias(f"__pk{i}") for i, p in enumerate(pk)]).distinct()
+    parent_keys = parent.select(*[F.col(p).alias(f"__pk{i}") for i, p in enumerate(pk)])
     cond: Column | None = None
     for i, f in enumerate(fk):
         c = F.col(f) == F.col(f"__pk{i}")

@@ -145,7 +145,10 @@ def rule_audit(df: DataFrame, table: str, key: str, rules: Sequence[tuple[str, s
 def check_batch(df: DataFrame | None, table: str, required: Sequence[str] = (),
                 optional: bool = False) -> DataFrame:
     """Raw-batch gate as a result row: table_name, batch_present, row_count,
-    missing_columns, passed. A missing optional batch passes."""
+    missing_columns, passed. A missing optional batch passes.
+
+    ``df`` must have the columns the batch really has (``read_landed`` for CSV): a frame
+    already aligned to the schema has every required name."""
     spark_cols = set(c.lower() for c in df.columns) if df is not None else set()
     missing = sorted(c for c in required if c.lower() not in spark_cols)
     if df is None:

@@ -11,25 +11,11 @@ from ..operators.latest import latest_by_key
 from .registry import Context, model
 
 
-def latest_staged(ctx: Context, df: DataFrame, key: str, order_by: list[str],
-                  tie_breakers: list[str]) -> DataFrame:
-    """Latest version per key of a staging table.
-
-    Staging accumulates loads, so in general several versions of a key are
-    present and the newest one is picked. When staging is this run's silver
-    output (one load, already latest-by-key) every key has exactly one row and
-    the pick is the identity: the window and its full sort are skipped.
-    """
-    if ctx.opt("staging_loader") is None and not ctx.opt("force_core_latest", False):
-        return df
-    return latest_by_key(df, key, order_by, tie_breakers)
-
-
 @model("dim_customer", "core")
 def dim_customer(ctx: Context) -> DataFrame:
     """Newest version of each customer by ``updated_at``; natural id is the key."""
-    latest = latest_staged(ctx, ctx.ref("stg_customers"), "customer_id", ["updated_at"],
-                           ["ingestion_timestamp"])
+    latest = latest_by_key(ctx.ref("stg_customers"), "customer_id", ["updated_at"],
+                           ["ingestion_timestamp", "load_date"])
     return latest.select(
         F.col("customer_id").alias("customer_key"), "customer_id", "first_name", "last_name",
         "email", "phone", "address", "city", "state", "country", "signup_date", "is_active",
@@ -38,8 +24,8 @@ def dim_customer(ctx: Context) -> DataFrame:
 
 @model("dim_product", "core")
 def dim_product(ctx: Context) -> DataFrame:
-    latest = latest_staged(ctx, ctx.ref("stg_products"), "product_id", ["updated_at"],
-                           ["ingestion_timestamp"])
+    latest = latest_by_key(ctx.ref("stg_products"), "product_id", ["updated_at"],
+                           ["ingestion_timestamp", "load_date"])
     return latest.select(
         F.col("product_id").alias("product_key"), "product_id", "product_name", "category",
         "sub_category", "unit_price", "unit_cost", "is_active", "created_at", "updated_at",
@@ -48,8 +34,8 @@ def dim_product(ctx: Context) -> DataFrame:
 
 @model("dim_store", "core")
 def dim_store(ctx: Context) -> DataFrame:
-    latest = latest_staged(ctx, ctx.ref("stg_stores"), "store_id", ["created_at"],
-                           ["ingestion_timestamp"])
+    latest = latest_by_key(ctx.ref("stg_stores"), "store_id", ["created_at"],
+                           ["ingestion_timestamp", "load_date"])
     return latest.select(
         F.col("store_id").alias("store_key"), "store_id", "store_name", "store_type",
         "store_size", "region", "country", "opened_date", "created_at", "batch_date")
@@ -66,17 +52,26 @@ def dim_date(ctx: Context) -> DataFrame:
     return days.select(*calendar_columns("__d"))
 
 
+def latest_load(staging: DataFrame, key: str, tie_breakers: tuple[str, ...] = ()) -> DataFrame:
+    """Newest version of each key by ``batch_date``; equal ones by ingestion, then by load."""
+    return latest_by_key(staging, key, ["batch_date"],
+                         ["ingestion_timestamp", "load_date", *tie_breakers])
+
+
 @model("latest_orders", "core")
 def latest_orders(ctx: Context) -> DataFrame:
-    """Newest load of each order by ``batch_date`` (ties: newer ingestion)."""
-    return latest_staged(ctx, ctx.ref("stg_orders"), "order_id", ["batch_date"],
-                         ["ingestion_timestamp"])
+    return latest_load(ctx.ref("stg_orders"), "order_id")
+
+
+@model("latest_order_heads", "core")
+def latest_order_heads(ctx: Context) -> DataFrame:
+    """``latest_orders`` without the exchange rate, for what needs no FX join."""
+    return latest_load(ctx.ref("stg_order_heads"), "order_id")
 
 
 @model("latest_order_items", "core")
 def latest_order_items(ctx: Context) -> DataFrame:
-    return latest_staged(ctx, ctx.ref("stg_order_items"), "order_item_id", ["batch_date"],
-                         ["ingestion_timestamp", "product_id"])
+    return latest_load(ctx.ref("stg_order_items"), "order_item_id", ("product_id",))
 
 
 @model("fact_sales", "core")
@@ -89,7 +84,7 @@ def fact_sales(ctx: Context) -> DataFrame:
     narrow; AQE turns their joins into broadcasts when runtime sizes allow and
     splits a hot customer/product key otherwise.
     """
-    o = (ctx.ref("latest_orders")
+    o = (ctx.ref("latest_order_heads")
          .select("order_id", "customer_id", "store_id", "order_date", "order_status",
                  "currency_code"))
     c = ctx.ref("dim_customer").select("customer_key")

@@ -63,9 +63,21 @@ class Context:
     def opt(self, key: str, default=None):
         return self.options.get(key, default)
 
+    def as_of(self, batch_date: str) -> Context:
+        """This context over the bronze batches up to ``batch_date`` (memoised)."""
+        key = f"__as_of__{batch_date}"
+        if key not in self._cache:
+            def until(name: str) -> DataFrame:
+                df = self.source(name)
+                return df.where(df.batch_date <= batch_date) if "batch_date" in df.columns else df
+            self._cache[key] = Context(self.spark, until, {k: v for k, v in self.options.items()
+                                                           if k != "loads"})
+        return self._cache[key]
+
 
 def fixture_context(spark: SparkSession, sf_dir: str, **options) -> Context:
-    """Context whose bronze tables are the fixture adapters over ``sf_dir``."""
+    """Context whose bronze tables are the fixture adapters over ``sf_dir``, loaded into
+    staging once per batch date of the adapters."""
     from ..sources import fixtures
 
     memo: dict = {}
@@ -75,7 +87,7 @@ def fixture_context(spark: SparkSession, sf_dir: str, **options) -> Context:
             return fixtures.fx_rates_raw(spark)
         return fixtures.adapter(spark, sf_dir, name, memo)
 
-    return Context(spark, bronze, dict(options))
+    return Context(spark, bronze, {"loads": fixtures.LOAD_DATES} | options)
 
 
 def parquet_context(spark: SparkSession, bronze_root: str, fx_path: str | None = None,

@@ -29,7 +29,7 @@ from .bronze import with_lineage
 from .catalog import entry
 from .registry import Context, model
 
-# --- fixed values: report parameters -------------------------------------------
+# Report parameters.
 CONCENTRATION_SEGMENTS = [("top_1pct", 1, True), ("top_5pct", 5, True), ("bottom_50pct", 50, False)]
 # customer frequency segments by number of orders (upper bound, inclusive)
 CUSTOMER_SEGMENTS = [("dormant", 0), ("light", 2), ("regular", 7), ("frequent", 19), ("vip", None)]
@@ -42,7 +42,6 @@ LINEAGE_TS = "2026-07-02 01:00:00"
 # FX snapshots derived from order days: a day ending in 3 failed, in 7 is missing
 FX_FAILED_DAY_MOD = 3
 FX_MISSING_DAY_MOD = 7
-# --- end of fixed values -------------------------------------------------------
 
 
 def _count(df: DataFrame, **labels) -> DataFrame:
@@ -88,6 +87,9 @@ def raw_checks(ctx: Context) -> DataFrame:
         parts.append(check_batch(latest_batch(ctx.source(t)), t, req, optional=(t == "orders")))
     parts.append(check_batch(ctx.source("fx_rates"), "fx_rates",
                              ("base_currency", "target_currency", "exchange_rate", "last_updated")))
+    # a batch that lacks a mandatory column must fail
+    parts.append(check_batch(latest_batch(ctx.source("orders")).drop("order_status"), "orders_incomplete",
+                             RAW_REQUIRED_ORDER_COLUMNS))
     return _union(parts)
 
 
@@ -160,26 +162,31 @@ def fact_dropped_rows(ctx: Context) -> DataFrame:
 # ---------------------------------------------------------------- layer metrics
 @entry("layer_row_counts")
 def layer_row_counts(ctx: Context) -> DataFrame:
+    """Rows per layer. What does not change the number of rows (cleansing, the FX join) is
+    left out, and the three ways a customer can go are counted in one pass."""
     parts = [_count(ctx.source(t), layer="bronze", table_name=t) for t in SPECS]
-    for t, m in [("orders", "silver_orders"), ("customers", "silver_customers"),
-                 ("products", "silver_products"), ("stores", "silver_stores"),
-                 ("order_items", "silver_order_items"), ("payments", "silver_payments")]:
+    for t, m in [("orders", "orders_mandatory"), ("products", "dedupe_products"), ("stores", "dedupe_stores"),
+                 ("order_items", "dedupe_order_items"), ("payments", "dedupe_payments")]:
         parts.append(_count(ctx.ref(m), layer="silver", table_name=t))
-    parts.append(_count(ctx.ref("reject_customers"), layer="reject", table_name="customers"))
-    parts.append(_count(ctx.ref("unknown_customers"), layer="unknown", table_name="customers"))
+    valid = C.email_is_valid("email")
+    ways = {"silver": valid, "reject": ~valid, "unknown": valid.isNull()}
+    counts = ctx.ref("dedupe_customers").agg(*[F.count(F.when(c, 1)).alias(k) for k, c in ways.items()])
+    parts.append(counts.select(F.explode(F.create_map(
+        *[x for k in ways for x in (F.lit(k), F.col(k))])).alias("layer", "row_count"))
+        .select("layer", F.lit("customers").alias("table_name"), "row_count"))
     return _union(parts)
 
 
 @entry("orders_reconciliation")
 def orders_reconciliation(ctx: Context) -> DataFrame:
-    counts = _union([_count(ctx.source("orders"), stage="bronze"),
-                     _count(ctx.ref("dedupe_orders"), stage="deduped"),
-                     _count(ctx.ref("orders_mandatory"), stage="final")])
-
-    def at(stage):
-        return F.sum(F.when(F.col("stage") == stage, F.col("row_count"))).cast("bigint")
-    row = counts.agg(at("bronze").alias("bronze_rows"), at("deduped").alias("deduped_rows"),
-                     at("final").alias("final_rows"))
+    """Rows in, after the dedupe and after the mandatory filter: one pass per side of the dedupe."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in SPECS["orders"].mandatory])
+    none = F.lit(0).cast("bigint")
+    bronze = ctx.source("orders").agg(F.count(F.lit(1)).alias("b"), none.alias("d"), none.alias("f"))
+    kept = ctx.ref("dedupe_orders").agg(none.alias("b"), F.count(F.lit(1)).alias("d"),
+                                        F.count(F.when(whole, 1)).alias("f"))
+    row = bronze.unionByName(kept).agg(F.sum("b").alias("bronze_rows"), F.sum("d").alias("deduped_rows"),
+                                       F.sum("f").alias("final_rows"))
     return row.select("bronze_rows", "deduped_rows", "final_rows",
                       (F.col("bronze_rows") - F.col("deduped_rows")).alias("duplicates_removed"),
                       (F.col("deduped_rows") - F.col("final_rows")).alias("null_rows_removed"))

@@ -1,23 +1,36 @@
-"""Staging layer: typed projections of the loaded silver tables."""
+"""Staging layer: typed projections of every load of the silver tables, appended by name."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..schemas import SPECS
+from ..schemas import SPECS, staging_schema
+from ..sinks.writers import align_by_name, append_by_name
 from .registry import Context, model
 from .silver import SILVER_OUTPUTS
 
 
-def staged(ctx: Context, table: str) -> DataFrame:
-    """The loaded copy of a silver table, projected to the staging column list.
+def staged(ctx: Context, table: str, source: str | None = None) -> DataFrame:
+    """All loads of a silver table, with the date of the load, in the declared column types.
 
-    Loads append by column name (``sinks.append_by_name``); in one run the
-    staging table is exactly the silver output.
+    The loads come from ``staging_loader`` (written loads of earlier runs), or are the
+    silver output as of each date of ``loads``; without either, this run's silver output is
+    the only load. ``source`` names another model than the silver output to load.
     """
+    target = staging_schema(table)
     loaded = ctx.opt("staging_loader")
-    df = loaded(table) if loaded else ctx.ref(SILVER_OUTPUTS[table])
-    return df.select(*SPECS[table].staging)
+    if loaded:
+        return align_by_name(loaded(table), target)
+    model_name = source or SILVER_OUTPUTS[table]
+    dates = ctx.opt("loads")
+    if not dates:
+        parts = [ctx.ref(model_name).withColumn("load_date", F.lit(None).cast("date"))]
+    else:
+        parts = [ctx.as_of(d).ref(model_name).withColumn("load_date", F.lit(d).cast("date")) for d in dates]
+    return reduce(append_by_name, parts[1:], align_by_name(parts[0], target))
 
 
 def _register(table: str) -> None:
@@ -32,3 +45,9 @@ def _register(table: str) -> None:
 
 for _t in SPECS:
     _register(_t)
+
+
+@model("stg_order_heads", "staging")
+def stg_order_heads(ctx: Context) -> DataFrame:
+    """Staged orders without the exchange rate: loaded before the FX join."""
+    return staged(ctx, "orders", "orders_mandatory").drop("exchange_rate")

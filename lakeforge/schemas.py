@@ -24,7 +24,7 @@ TS = T.TimestampNTZType()
 M2 = T.DecimalType(10, 2)
 M4 = T.DecimalType(18, 4)
 
-# Raw (source) schemas: what the extract lands, before lineage.
+# --- fixed values: raw (source) schemas, what the extract lands before lineage ---
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "customers": _s(("customer_id", T.LongType()), ("first_name", T.StringType()),
                     ("last_name", T.StringType()), ("email", T.StringType()),
@@ -54,6 +54,8 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
                    ("payment_date", TS), ("created_at", TS)),
 }
 
+# --- end of fixed values -------------------------------------------------------
+
 FX_RAW_SCHEMA = _s(("base_currency", T.StringType()), ("target_currency", T.StringType()),
                    ("exchange_rate", T.StringType()), ("last_updated", T.StringType()))
 
@@ -112,3 +114,11 @@ SPECS: dict[str, TableSpec] = {
 # --- end of fixed values -------------------------------------------------------
 
 SOURCE_TABLES = tuple(SPECS)
+
+
+def staging_schema(table: str) -> T.StructType:
+    """Declared columns of a staging table: its projection and the date of the load."""
+    types = {f.name: f.dataType for f in bronze_schema(table).fields}
+    types["exchange_rate"] = T.DoubleType()
+    return T.StructType([T.StructField(c, types[c]) for c in SPECS[table].staging]
+                        + [T.StructField("load_date", T.DateType())])

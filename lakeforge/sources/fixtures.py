@@ -139,6 +139,9 @@ ADAPTERS = {
 }
 # --- end of fixed values -----------------------------------------------------
 
+# The adapters' daily batches; after each one, silver is loaded into staging.
+LOAD_DATES = ("2026-07-01", "2026-07-02")
+
 
 def columns(adapter: str, ts_type: str) -> list[tuple[str, str]]:
     """Ordered (name, expression) list of an adapter, lineage included."""

@@ -81,70 +81,87 @@ def _fx_raw_cte() -> str:
             f"t(base_currency, target_currency, exchange_rate, last_updated))")
 
 
-def _dedupe(table: str) -> str:
+def _dedupe(table: str, load: str, until: str) -> str:
     spec = SPECS[table]
     order = ", ".join(f"{c} DESC NULLS LAST" for c in (*spec.order_by, *spec.tie_breakers))
-    return (f"dedupe_{table} AS (SELECT * FROM b_{table} "
+    return (f"dedupe{load}_{table} AS (SELECT * FROM b_{table} WHERE batch_date <= DATE '{until}' "
             f"QUALIFY row_number() OVER (PARTITION BY {spec.key} ORDER BY {order}) = 1)")
 
 
-def _stg(table: str, src: str) -> str:
-    return f"stg_{table} AS (SELECT {', '.join(SPECS[table].staging)} FROM {src})"
+def _loads() -> list[tuple[str, str]]:
+    """(suffix of the model names, date) per load; the last load has the plain names."""
+    dates = FX.LOAD_DATES
+    return [(str(i + 1), d) for i, d in enumerate(dates[:-1])] + [("", dates[-1])]
 
 
-def model_ctes() -> list[str]:
-    ctes = [adapter_cte(n) for n in FX.ADAPTERS] + [_fx_raw_cte()]
-    ctes += [_dedupe(t) for t in SPECS]
+def _stg(table: str) -> str:
+    cols = ", ".join(SPECS[table].staging)
+    parts = [f"SELECT {cols}, DATE '{d}' AS load_date FROM silver{n}_{table}" for n, d in _loads()]
+    return f"stg_{table} AS ({' UNION ALL '.join(parts)})"
+
+
+def _newest(table: str, key: str, *order: str) -> str:
+    """Subquery: of each key the row with the greatest order columns."""
+    return f"(SELECT unnest(max_by(t, row({', '.join(order)}))) FROM {table} t GROUP BY {key})"
+
+
+def _silver(n: str, until: str) -> list[str]:
     mand = " AND ".join(f"{c} IS NOT NULL" for c in SPECS["orders"].mandatory)
-    ctes += [
-        f"orders_mandatory AS (SELECT * FROM dedupe_orders WHERE {mand})",
-        "fx_rates_typed AS (SELECT target_currency, try_cast(exchange_rate AS double) AS exchange_rate "
-        "FROM fx_raw QUALIFY row_number() OVER (PARTITION BY target_currency "
-        "ORDER BY try_cast(exchange_rate AS double) DESC NULLS LAST) = 1)",
-        "silver_orders AS (SELECT o.*, r.exchange_rate FROM orders_mandatory o "
+    return [_dedupe(t, n, until) for t in SPECS] + [
+        f"orders{n}_mandatory AS (SELECT * FROM dedupe{n}_orders WHERE {mand})",
+        f"silver{n}_orders AS (SELECT o.*, r.exchange_rate FROM orders{n}_mandatory o "
         "LEFT JOIN fx_rates_typed r ON o.currency_code = r.target_currency)",
-        f"clean_customers AS (SELECT * REPLACE ("
+        f"clean{n}_customers AS (SELECT * REPLACE ("
         f"{clean_name('first_name')} AS first_name, {clean_name('last_name')} AS last_name, "
         f"{canonical_state('state')} AS state, {clean_name('country')} AS country, "
         f"regexp_replace(phone, {q(PHONE_STRIP_PATTERN)}, '', 'g') AS phone) "
-        f"FROM dedupe_customers)",
-        f"silver_customers AS (SELECT * FROM clean_customers WHERE {email_valid('email')})",
+        f"FROM dedupe{n}_customers)",
+        f"silver{n}_customers AS (SELECT * FROM clean{n}_customers WHERE {email_valid('email')})",
+        f"silver{n}_products AS (SELECT * REPLACE ({clean_name('product_name')} AS product_name, "
+        f"{clean_name('category')} AS category) FROM dedupe{n}_products)",
+        f"silver{n}_stores AS (SELECT * REPLACE ({clean_name('store_name')} AS store_name, "
+        f"{clean_name('region')} AS region, {clean_name('country')} AS country) FROM dedupe{n}_stores)",
+        f"silver{n}_order_items AS (SELECT * FROM dedupe{n}_order_items)",
+        f"silver{n}_payments AS (SELECT * REPLACE ("
+        f"{initcap(PAYMENT_METHOD_NORM)} AS payment_method) FROM dedupe{n}_payments)",
+    ]
+
+
+def model_ctes() -> list[str]:
+    ctes = [adapter_cte(n) for n in FX.ADAPTERS] + [_fx_raw_cte()]
+    ctes.append(
+        "fx_rates_typed AS (SELECT target_currency, max(try_cast(exchange_rate AS double)) AS exchange_rate "
+        "FROM fx_raw GROUP BY target_currency)")
+    for n, until in _loads():
+        ctes += _silver(n, until)
+    ctes += [
         f"reject_customers AS (SELECT *, 'Invalid Email' AS reject_reason FROM clean_customers "
         f"WHERE NOT {email_valid('email')})",
         "unknown_customers AS (SELECT * FROM clean_customers WHERE email IS NULL)",
-        f"silver_products AS (SELECT * REPLACE ({clean_name('product_name')} AS product_name, "
-        f"{clean_name('category')} AS category) FROM dedupe_products)",
-        f"silver_stores AS (SELECT * REPLACE ({clean_name('store_name')} AS store_name, "
-        f"{clean_name('region')} AS region, {clean_name('country')} AS country) FROM dedupe_stores)",
-        "silver_order_items AS (SELECT * FROM dedupe_order_items)",
-        f"silver_payments AS (SELECT * REPLACE ("
-        f"{initcap(PAYMENT_METHOD_NORM)} AS payment_method) FROM dedupe_payments)",
     ]
-    ctes += [_stg(t, f"silver_{t}") for t in SPECS]
+    ctes += [_stg(t) for t in SPECS]
     ctes += [
         "dim_customer AS (SELECT customer_id AS customer_key, customer_id, first_name, last_name, "
         "email, phone, address, city, state, country, signup_date, is_active, created_at, "
-        "updated_at, batch_date FROM stg_customers QUALIFY row_number() OVER "
-        "(PARTITION BY customer_id ORDER BY updated_at DESC, ingestion_timestamp DESC) = 1)",
+        "updated_at, batch_date FROM "
+        + _newest("stg_customers", "customer_id", "updated_at", "ingestion_timestamp", "load_date") + ")",
         "dim_product AS (SELECT product_id AS product_key, product_id, product_name, category, "
         "sub_category, unit_price, unit_cost, is_active, created_at, updated_at, batch_date "
-        "FROM stg_products QUALIFY row_number() OVER "
-        "(PARTITION BY product_id ORDER BY updated_at DESC, ingestion_timestamp DESC) = 1)",
+        "FROM " + _newest("stg_products", "product_id", "updated_at", "ingestion_timestamp", "load_date") + ")",
         "dim_store AS (SELECT store_id AS store_key, store_id, store_name, store_type, store_size, "
-        "region, country, opened_date, created_at, batch_date FROM stg_stores QUALIFY "
-        "row_number() OVER (PARTITION BY store_id ORDER BY created_at DESC, "
-        "ingestion_timestamp DESC) = 1)",
+        "region, country, opened_date, created_at, batch_date FROM "
+        + _newest("stg_stores", "store_id", "created_at", "ingestion_timestamp", "load_date") + ")",
         "dim_date AS (SELECT DISTINCT cast(order_date AS date) AS date_key, "
         "cast(order_date AS date) AS full_date, cast(year(order_date) AS integer) AS year, "
         "cast(quarter(order_date) AS integer) AS quarter, cast(month(order_date) AS integer) AS month, "
         "strftime(order_date, '%b') AS month_name, cast(day(order_date) AS integer) AS day, "
         "cast(dayofweek(order_date) AS integer) AS day_of_week, "
         "strftime(order_date, '%a') AS day_name FROM stg_orders)",
-        "latest_orders AS (SELECT * FROM stg_orders QUALIFY row_number() OVER "
-        "(PARTITION BY order_id ORDER BY batch_date DESC, ingestion_timestamp DESC) = 1)",
-        "latest_order_items AS (SELECT * FROM stg_order_items QUALIFY row_number() OVER "
-        "(PARTITION BY order_item_id ORDER BY batch_date DESC, ingestion_timestamp DESC, "
-        "product_id DESC) = 1)",
+        "latest_orders AS (SELECT * FROM "
+        + _newest("stg_orders", "order_id", "batch_date", "ingestion_timestamp", "load_date") + ")",
+        "latest_order_items AS (SELECT * FROM "
+        + _newest("stg_order_items", "order_item_id", "batch_date", "ingestion_timestamp", "load_date",
+                  "product_id") + ")",
         "fact_sales AS (SELECT oi.order_item_id, o.order_id, c.customer_key, p.product_key, "
         "s.store_key, cast(o.order_date AS date) AS date_key, oi.quantity, "
         "oi.unit_price_at_sale AS unit_price, oi.unit_cost_at_sale AS unit_cost, "

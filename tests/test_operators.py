@@ -9,7 +9,7 @@ from lakeforge.functions import cleanse as C
 from lakeforge.functions.dates import calendar_columns
 from lakeforge.operators.asof import asof_latest
 from lakeforge.operators.enrich import convert_to_base, enrich_fx
-from lakeforge.operators.joins import bounded_broadcast, orphans
+from lakeforge.operators.joins import orphans
 from lakeforge.operators.latest import apply_scd1, latest_by_key
 from lakeforge.operators.profile import bucketize, concentration
 from lakeforge.operators.quality import (Expectation, check_batch, duplicate_keys, null_counts,
@@ -205,11 +205,3 @@ def test_calendar_columns(spark):
     r = df.select(*calendar_columns("ts")).collect()[0]
     assert (r.year, r.quarter, r.month, r.month_name, r.day, r.day_of_week, r.day_name) == \
         (2024, 3, 7, "Jul", 7, 0, "Sun")
-
-
-def test_bounded_broadcast(spark):
-    small = spark.range(5)
-    big = spark.range(100)
-    joined = spark.range(1000).join(bounded_broadcast(small, 10), "id")
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
-    assert bounded_broadcast(big, 10) is big

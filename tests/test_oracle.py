@@ -39,8 +39,8 @@ def con():
 
 
 def _keys():
-    import __spark_entry__ as E
-    return sorted(E.queries())
+    from lakeforge.plans.catalog import CATALOG
+    return sorted(CATALOG)
 
 
 @pytest.mark.parametrize("key", _keys())

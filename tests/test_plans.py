@@ -29,14 +29,52 @@ def test_mart_aggregates_partially_before_shuffle(spark):
     assert plan.count("HashAggregate") >= 4  # partial + final for distinct and totals
 
 
-def test_core_latest_elided_for_single_load(spark):
+def _analysed(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_core_picks_the_latest_of_several_loads(spark):
     ctx = fixture_context(spark, SF_SMALL)
-    single = ctx.ref("latest_orders")._jdf.queryExecution().optimizedPlan().toString()
-    forced = fixture_context(spark, SF_SMALL, force_core_latest=True).ref("latest_orders") \
-        ._jdf.queryExecution().optimizedPlan().toString()
-    assert single.count("Window ") < forced.count("Window ")
-    assert ctx.ref("latest_orders").count() == \
-        fixture_context(spark, SF_SMALL, force_core_latest=True).ref("latest_orders").count()
+    for staged, core, key in [("stg_customers", "dim_customer", "customer_id"),
+                              ("stg_products", "dim_product", "product_id"),
+                              ("stg_stores", "dim_store", "store_id"), ("stg_orders", "latest_orders", "order_id"),
+                              ("stg_order_items", "latest_order_items", "order_item_id")]:
+        stage, one = ctx.ref(staged), ctx.ref(core)
+        assert _analysed(one).count("Window ") > _analysed(stage).count("Window ")
+        assert stage.groupBy(key).count().where("count > 1").count() > 0
+        assert one.groupBy(one[key]).count().where("count > 1").count() == 0
+
+
+def test_latest_load_does_not_depend_on_the_order_of_loads(spark):
+    import datetime as dt
+
+    from lakeforge.plans.core import latest_load
+    same = dt.date(2026, 7, 1), dt.datetime(2026, 7, 1, 1)
+    rows = [(1, *same, dt.date(2026, 7, 1), 1.0), (1, *same, dt.date(2026, 7, 2), 2.0)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "order_id long, batch_date date, ingestion_timestamp timestamp_ntz, "
+                                          "load_date date, exchange_rate double")
+        assert latest_load(df, "order_id").first().exchange_rate == 2.0
+
+
+def test_fact_has_no_rate_join(spark):
+    assert "exchange_rate" not in _analysed(CATALOG["fact_sales"](fixture_context(spark, SF_SMALL)))
+
+
+def test_watermark_and_newest_batch_reach_the_scan(spark, tmpdir_run):
+    import datetime as dt
+
+    from lakeforge.sources.extract import read_incremental
+    from lakeforge.sources.files import latest_batch
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    plan = read_incremental(orders, "o_orderdate", dt.datetime(1995, 1, 1))._jdf.queryExecution().executedPlan()
+    assert "GreaterThan(o_orderdate" in plan.toString()
+    spark.range(10).selectExpr("id", "date'2026-07-01' + cast(id % 3 as int) as batch_date").write.partitionBy(
+        "batch_date").parquet(f"{tmpdir_run}/t")
+    newest = latest_batch(spark.read.parquet(f"{tmpdir_run}/t"))
+    assert {r.id for r in newest.collect()} == {2, 5, 8}
+    filters = [x for x in newest._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1:]]
+    assert any("(batch_date" in f[:120] and "=" in f[:120] for f in filters)
 
 
 def test_cluster_conf_scales_with_input():
