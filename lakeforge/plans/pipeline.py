@@ -15,16 +15,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.quality import CORE_EXPECTATIONS, check_batch, run_expectations
-from ..schemas import RAW_REQUIRED_ORDER_COLUMNS, RAW_SCHEMAS, SPECS
+from ..schemas import FX_RAW_SCHEMA, RAW_REQUIRED_ORDER_COLUMNS, RAW_SCHEMAS, SPECS, staging_schema
+from ..session import delete_path
 from ..sinks.writers import (align_by_name, land_csv, write_full, write_observed,
                              write_partitioned)
 from ..sources.extract import read_incremental
-from ..sources.files import read_raw_csv
+from ..sources.files import batch_path, read_corrupt_count, read_landed, read_raw_csv
+from ..sources.fx import fx_rows, latest_good_fx
 from ..sources.watermark import advance_watermark, get_watermark, read_state, write_state
 from .bronze import run_bronze
 from .registry import Context, parquet_context
@@ -43,20 +44,14 @@ class Zones:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def extract_and_land(spark: SparkSession, source: Callable[[str], DataFrame], zones: Zones,
                      batch_date: str) -> dict:
     """Full snapshots of five tables and the orders increment, landed as CSV.
 
     The orders increment is read past the stored watermark; the watermark is
     advanced only later, after the batch is published (``run_pipeline``).
-    Returns the orders increment (or None when empty) for that step.
+    The source orders are read once: the landing write counts them, and a landing
+    without rows is removed again.
     """
     state = read_state(spark, zones.state + "/etl_watermark")
     for t in SPECS:
@@ -65,39 +60,71 @@ def extract_and_land(spark: SparkSession, source: Callable[[str], DataFrame], zo
         land_csv(source(t).select(*RAW_SCHEMAS[t].fieldNames()), zones.raw, t, batch_date)
     orders = read_incremental(source("orders"), "order_date", get_watermark(state, ORDERS_PIPELINE))
     orders = orders.select(*RAW_SCHEMAS["orders"].fieldNames())
-    has_orders = not orders.isEmpty()
-    if has_orders:
-        land_csv(orders, zones.raw, "orders", batch_date, sort_by=["order_date"])
+    landed = Observation("landed_orders")
+    path = land_csv(orders.observe(landed, F.count(F.lit(1)).alias("rows")), zones.raw, "orders", batch_date,
+                    sort_by=["order_date"])
+    has_orders = landed.get["rows"] > 0
+    if not has_orders:
+        delete_path(spark, path)
     return {"state": state, "has_orders": has_orders}
 
 
-def gate(spark: SparkSession, zones: Zones, batch_date: str, has_orders: bool) -> DataFrame:
-    """Raw checks of the landed batch; raises if a mandatory table fails."""
+def land_fx(spark: SparkSession, snapshots: DataFrame, path: str, batch_date: str) -> str:
+    """Land the rates of the newest good snapshot up to the batch date; returns the feed's status.
+
+    SUCCESS is the day's own snapshot, DEGRADED an older one; without any this raises.
+    """
+    day = spark.createDataFrame([(batch_date,)], "d string").select(F.col("d").cast("date").alias("batch_date"))
+    picked = latest_good_fx(day, snapshots, strict=True)
+    (fx_rows(picked).withColumn("exchange_rate", F.col("exchange_rate").cast("string"))
+     .write.mode("overwrite").option("header", True).csv(path))
+    return picked.select("fx_status").first()[0]
+
+
+def gate(spark: SparkSession, zones: Zones, batch_date: str, has_orders: bool, fx_path: str) -> DataFrame:
+    """Raw checks of the landed batch and the FX rows; raises if a mandatory one fails.
+
+    The files are read as text under the names of their header, so a column that is
+    missing there is reported as missing.
+    """
     parts = []
     for t in SPECS:
         if t == "orders" and not has_orders:
             parts.append(check_batch(None, t, RAW_REQUIRED_ORDER_COLUMNS, optional=True))
             continue
-        df = read_raw_csv(spark, zones.raw, t, batch_date, infer=False)
+        df = read_landed(spark, batch_path(zones.raw, t, batch_date))
         req = RAW_REQUIRED_ORDER_COLUMNS if t == "orders" else ()
         parts.append(check_batch(df, t, req, optional=(t == "orders")))
+    corrupt = read_corrupt_count(spark, fx_path, FX_RAW_SCHEMA).first()["corrupt_rows"]
+    parts.append(check_batch(read_landed(spark, fx_path), "fx_rates", FX_RAW_SCHEMA.fieldNames())
+                 .withColumn("passed", F.col("passed") & F.lit(corrupt == 0)))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
-    failed = report.where(~F.col("passed")).select("table_name").collect()  # <= 6 rows
+    failed = report.where(~F.col("passed")).select("table_name").collect()  # <= 7 rows
     if failed:
         raise RuntimeError(f"raw checks failed for {[r.table_name for r in failed]}")
     return report
 
 
-def run_pipeline(spark: SparkSession, source: Callable[[str], DataFrame], fx_raw: DataFrame,
-                 root: str, batch_date: str, ingestion_ts: str | None = None) -> DataFrame:
-    """Run one batch end to end; returns the expectation report."""
+def run_pipeline(spark: SparkSession, source: Callable[[str], DataFrame], fx_raw: DataFrame | None,
+                 root: str, batch_date: str, ingestion_ts: str | None = None,
+                 fx_snapshots: DataFrame | None = None) -> DataFrame:
+    """Run one batch end to end; returns the expectation report.
+
+    Exchange rates are the finished rows ``fx_raw``, or come from the feed's daily
+    ``fx_snapshots`` (snapshot_date, status, payload): then the last good one is used and
+    its status is kept in the audit trail.
+    """
     z = Zones(root)
     landed = extract_and_land(spark, source, z, batch_date)
     fx_path = f"{z.raw}/currency/batch_date={batch_date}"
-    fx_raw.write.mode("overwrite").option("header", True).csv(fx_path)
-    gate(spark, z, batch_date, landed["has_orders"])
+    if fx_snapshots is None:
+        fx_raw.write.mode("overwrite").option("header", True).csv(fx_path)
+        fx_status = "GIVEN"
+    else:
+        fx_status = land_fx(spark, fx_snapshots, fx_path, batch_date)
+    gate(spark, z, batch_date, landed["has_orders"], fx_path)
 
     # bronze: one partition per batch, idempotent
     for t in SPECS:
@@ -114,22 +141,18 @@ def run_pipeline(spark: SparkSession, source: Callable[[str], DataFrame], fx_raw
                                                 f"{z.reject}/customers", "reject_customers")
     # audit trail of the run: rows written per silver output, one partition per batch
     audit = spark.createDataFrame(sorted(counts.items()), "table_name string, row_count bigint")
+    audit = audit.withColumn("fx_status", F.lit(fx_status))
     write_partitioned(audit.withColumn("batch_date", F.lit(batch_date).cast("date")),
                       f"{z.state}/layer_counts")
 
-    # staging: append this load by name (one partition per load date, rerun-safe)
+    # staging: append this load by name into the declared columns (one partition per load
+    # date, rerun-safe)
     for t in SPECS:
-        loaded = spark.read.parquet(f"{z.silver}/{t}")
-        target = spark.read.parquet(f"{z.staging}/{t}").schema if \
-            _exists(spark, f"{z.staging}/{t}") else None
-        if target is not None:
-            loaded = align_by_name(loaded, T.StructType(
-                [f for f in target.fields if f.name != "load_date"]))
-        write_partitioned(loaded.withColumn("load_date", F.lit(batch_date).cast("date")),
-                          f"{z.staging}/{t}", "load_date")
+        loaded = spark.read.parquet(f"{z.silver}/{t}").withColumn("load_date", F.lit(batch_date).cast("date"))
+        write_partitioned(align_by_name(loaded, staging_schema(t)), f"{z.staging}/{t}", "load_date")
 
     def staging_loader(t: str) -> DataFrame:
-        return spark.read.parquet(f"{z.staging}/{t}").drop("load_date")
+        return spark.read.schema(staging_schema(t)).parquet(f"{z.staging}/{t}")
 
     core = Context(spark, ctx.bronze, {"staging_loader": staging_loader})
     for m in CORE_MODELS:
@@ -143,10 +166,7 @@ def run_pipeline(spark: SparkSession, source: Callable[[str], DataFrame], fx_raw
     report = run_expectations(written.ref, CORE_EXPECTATIONS)
     # publish done: only now move the orders high-water mark
     if landed["has_orders"]:
-        batch = spark.read.option("header", True).schema(RAW_SCHEMAS["orders"]).csv(
-            f"{z.raw}/orders/batch_date={batch_date}")
+        batch = read_raw_csv(spark, z.raw, "orders", batch_date)
         new_state = advance_watermark(landed["state"], batch, ORDERS_PIPELINE, "order_date")
-        tmp = f"{z.state}/etl_watermark_next"
-        write_state(new_state, tmp)
-        write_state(spark.read.parquet(tmp), z.state + "/etl_watermark")
+        write_state(new_state, z.state + "/etl_watermark")
     return report

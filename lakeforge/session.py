@@ -74,17 +74,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder in that setting; it is only filled in here
-    when unset (local runs and tests), with a fresh private folder.
+    when unset on a local master (tests), with a fresh private folder. On a cluster
+    without the setting there is no folder that all executors see, so this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="lakeforge-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path`` (none where it does not exist)."""
+    p, fs = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)

@@ -32,14 +32,13 @@ def read_snapshot(spark: SparkSession, table: str, *, jdbc_url: str | None = Non
 def read_incremental(df: DataFrame, ts_col: str, watermark) -> DataFrame:
     """Rows strictly newer than the watermark (``ts > wm``).
 
-    ``watermark`` is a literal or a one-row DataFrame with ``last_watermark``
-    (as ``watermark.get_watermark`` returns). A literal is pushed into the
-    JDBC query / parquet scan; a NULL or absent watermark means a full load.
+    ``watermark`` is a value or a one-row DataFrame with ``last_watermark`` (as
+    ``watermark.get_watermark`` returns), whose one value is read here. It enters the
+    plan as a literal, which is pushed into the JDBC query / parquet scan; a NULL or
+    absent watermark means a full load.
     """
     if isinstance(watermark, DataFrame):
-        # scalar subquery: evaluated once, NULL (no state row) means a full load
-        wm = watermark.select(F.max("last_watermark")).scalar()
-        return df.where(wm.isNull() | (F.col(ts_col) > wm))
+        watermark = watermark.agg(F.max("last_watermark")).first()[0]
     if watermark is None:
         return df
-    return df.where(F.col(ts_col) > F.lit(watermark))
+    return df.where(F.col(ts_col) > F.lit(watermark).cast(df.schema[ts_col].dataType))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import FX_RAW_SCHEMA, RAW_SCHEMAS, bronze_schema
+from ..session import path_exists
+from ..sinks.writers import align_by_name
 
 
 def batch_path(root: str, table: str, batch_date: str) -> str:
@@ -15,24 +19,45 @@ def batch_path(root: str, table: str, batch_date: str) -> str:
 
 def read_raw_csv(spark: SparkSession, root: str, table: str, batch_date: str,
                  schema: T.StructType | None = None, infer: bool = False) -> DataFrame:
-    """One landed CSV batch (header on) with an enforced schema.
+    """One landed CSV batch typed by ``schema``, its columns matched by header name.
 
-    Inference is opt-in only: it costs an extra pass and drifts (a digits-only
-    phone column becomes a number).
+    Columns that the files lack are NULL, unknown ones are dropped, and a value that
+    does not fit its type is NULL (``uncastable`` counts those). Inference is opt-in
+    only: it costs an extra pass and drifts (a digits-only phone column becomes a number).
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    path = batch_path(root, table, batch_date)
     if infer:
-        reader = reader.option("inferSchema", True)
-    else:
-        reader = reader.schema(schema or RAW_SCHEMAS[table])
-    return reader.csv(batch_path(root, table, batch_date))
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return align_by_name(read_landed(spark, path), schema or RAW_SCHEMAS[table])
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """A landed CSV folder as text, with the columns its header names.
+
+    The header is taken from one file; a file of the folder with another header raises
+    (``enforceSchema`` off), as its rows would else be read by position.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+
+
+def uncastable(landed: DataFrame, schema: T.StructType) -> Column:
+    """Aggregate: number of text values of ``landed`` that do not fit their column of ``schema``."""
+    types = {f.name.lower(): f.dataType for f in schema.fields}
+    bad = [F.count(F.when(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(types[c.lower()]).isNull(), 1))
+           for c in landed.columns if c.lower() in types]
+    return reduce(lambda a, b: a + b, bad, F.lit(0).cast("long"))
 
 
 def read_bronze(spark: SparkSession, root: str, table: str,
                 batch_dates: list[str] | None = None) -> DataFrame:
     """All batches of a bronze table; ``batch_date`` comes from the directory
     (typed DATE), and a filter on it prunes whole partitions."""
-    df = spark.read.schema(bronze_schema(table)).parquet(f"{root.rstrip('/')}/{table}")
+    path = f"{root.rstrip('/')}/{table}"
+    if not path_exists(spark, path):  # an optional table before its first batch
+        return spark.createDataFrame([], bronze_schema(table))
+    df = spark.read.schema(bronze_schema(table)).parquet(path)
     if batch_dates:
         df = df.where(F.col("batch_date").isin([F.lit(d).cast("date") for d in batch_dates]))
     return df
@@ -41,17 +66,15 @@ def read_bronze(spark: SparkSession, root: str, table: str,
 def latest_batch(df: DataFrame, col: str = "batch_date") -> DataFrame:
     """Rows of the newest batch only.
 
-    ``max(batch_date)`` is a scalar subquery; on a partitioned parquet table it
-    is answered from partition values and the outer filter prunes to one
-    directory (dynamic partition pruning of the scan).
+    ``max(batch_date)`` is a scalar subquery: on a partitioned table its value is a
+    partition filter of the scan, so only the newest directory is read.
     """
-    newest = df.agg(F.max(col).alias("__newest"))
-    return df.join(F.broadcast(newest), F.col(col) == F.col("__newest"), "left_semi")
+    return df.where(F.col(col) == df.select(F.max(col)).scalar())
 
 
 def read_fx_csv(spark: SparkSession, path: str) -> DataFrame:
     """Landed FX rows, all columns as text; ``sources.fx.fx_rates_typed`` types them."""
-    return spark.read.option("header", True).schema(FX_RAW_SCHEMA).csv(path)
+    return align_by_name(read_landed(spark, path), FX_RAW_SCHEMA)
 
 
 def read_corrupt_count(spark: SparkSession, path: str, schema: T.StructType,
@@ -61,7 +84,7 @@ def read_corrupt_count(spark: SparkSession, path: str, schema: T.StructType,
     reader = (spark.read.schema(s).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if fmt == "csv":
-        df = reader.option("header", True).csv(path)
+        df = reader.option("header", True).option("enforceSchema", False).csv(path)
     else:
         df = reader.json(path)
     # a data column is read alongside the corrupt-record column: the parser must

@@ -59,6 +59,8 @@ def latest_good_fx(batches: DataFrame, snapshots: DataFrame, batch_col: str = "b
     """
     good = snapshots.where(F.col(status_col) == STATUS_SUCCESS).select(
         F.col(snapshot_col).alias("__sd"), F.col(payload_col).alias("__payload"))
+    # two good snapshots of one day: the same one is picked whatever the order of rows
+    good = latest_by_key(good, "__sd", ["__payload"])
     keys = batches.select(F.col(batch_col).alias("batch_date")).distinct()
     picked = asof_latest(keys, "batch_date", good, "__sd", ["__sd", "__payload"])
     out = picked.select(

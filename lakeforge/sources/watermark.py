@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import delete_path, list_names, path_exists
+
 STATE_SCHEMA = "pipeline_name string, last_watermark timestamp_ntz, updated_at timestamp_ntz"
 
 
@@ -38,13 +40,28 @@ def advance_watermark(state: DataFrame, batch: DataFrame, pipeline: str, ts_col:
     return others.unionByName(merged)
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n.removeprefix("version=")) for n in list_names(spark, path)
+                  if n.startswith("version=") and path_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
 def write_state(state: DataFrame, path: str) -> None:
-    """Persist the state table (small, one row per pipeline)."""
-    state.coalesce(1).write.mode("overwrite").parquet(path)
+    """Persist the state table (one row per pipeline) as a new version.
+
+    The version before stays until the new one is complete, so a crash in between loses
+    nothing; older ones are removed.
+    """
+    spark = state.sparkSession
+    old = _versions(spark, path)
+    new = old[-1] + 1 if old else 0
+    state.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={new}")
+    for n in old[:-1]:
+        delete_path(spark, f"{path}/version={n}")
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(STATE_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - absent state folder: never run
+    """The newest complete version; no rows where none was ever written."""
+    versions = _versions(spark, path)
+    if not versions:
         return spark.createDataFrame([], STATE_SCHEMA)
+    return spark.read.schema(STATE_SCHEMA).parquet(f"{path}/version={versions[-1]}")

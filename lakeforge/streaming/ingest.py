@@ -6,13 +6,17 @@ only new batches; ``Trigger.AvailableNow`` processes the backlog and stops,
 which fits a daily scheduler.
 
 T2 ``stream_silver``: each micro-batch of bronze rows is merged into the
-latest-by-key silver table with ``foreachBatch``. Versions are written as
-``epoch=<id>`` partitions; a replayed epoch overwrites its own partition
-(idempotent), and readers take the newest epoch.
+latest-by-key silver table with ``foreachBatch``. Keys are hashed into buckets, and a
+batch rewrites only the buckets it touches, into a folder of its own. A manifest (one
+row per bucket) names the folder that holds each bucket; it is replaced as the last
+step. Nothing depends on epoch ids: a replayed epoch, or one of a new checkpoint, merges
+its rows once more, which changes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +24,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_by_key
 from ..schemas import RAW_SCHEMAS, SPECS, bronze_schema
-from ..sinks.writers import write_partitioned
-from ..sources.files import latest_batch
+from ..session import delete_path, list_names, path_exists
+
+#: Buckets of a streamed silver table, fixed for its life.
+BUCKETS = 64
+MANIFEST = "bucket int, folder string"
 
 
 def stream_bronze(spark: SparkSession, raw_root: str, bronze_root: str, table: str,
@@ -29,6 +36,7 @@ def stream_bronze(spark: SparkSession, raw_root: str, bronze_root: str, table: s
     """Start the raw->bronze stream for one table (AvailableNow trigger)."""
     schema = T.StructType(RAW_SCHEMAS[table].fields + [T.StructField("batch_date", T.DateType())])
     raw = (spark.readStream.schema(schema).option("header", True)
+           .option("enforceSchema", False)  # a header other than the schema's names raises
            .option("maxFilesPerTrigger", 1000)
            .csv(f"{raw_root.rstrip('/')}/{table}"))
     bronze = raw.withColumns({
@@ -42,35 +50,58 @@ def stream_bronze(spark: SparkSession, raw_root: str, bronze_root: str, table: s
             .start(f"{bronze_root.rstrip('/')}/{table}"))
 
 
+def _manifest(spark: SparkSession, root: str) -> tuple[int, dict[int, str]]:
+    """Number of the newest complete manifest (-1: none yet) and its folders by bucket."""
+    done = [int(n.removeprefix("seq=")) for n in list_names(spark, f"{root}/manifest")
+            if path_exists(spark, f"{root}/manifest/{n}/_SUCCESS")]
+    if not done:
+        return -1, {}
+    rows = spark.read.schema(MANIFEST).parquet(f"{root}/manifest/seq={max(done)}")
+    return max(done), {r["bucket"]: r["folder"] for r in rows.collect()}  # at most BUCKETS rows
+
+
+def _read_buckets(spark: SparkSession, root: str, table: str, held: dict[int, str]) -> DataFrame:
+    paths = [f"{root}/data/{folder}/bucket={b}" for b, folder in sorted(held.items())]
+    if not paths:
+        return spark.createDataFrame([], bronze_schema(table))
+    return spark.read.schema(bronze_schema(table)).parquet(*paths)
+
+
 def read_current(spark: SparkSession, silver_root: str, table: str) -> DataFrame | None:
-    """Newest epoch of a streamed silver table (None before the first epoch)."""
-    try:
-        df = spark.read.parquet(f"{silver_root.rstrip('/')}/{table}")
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
-    return latest_batch(df, "epoch").drop("epoch")
+    """The streamed silver table as of its newest manifest (None before the first)."""
+    root = f"{silver_root.rstrip('/')}/{table}"
+    seq, held = _manifest(spark, root)
+    return None if seq < 0 else _read_buckets(spark, root, table, held)
 
 
 def merge_batch(spark: SparkSession, silver_root: str, table: str, batch: DataFrame,
                 epoch_id: int) -> None:
-    """Fold one micro-batch into the latest-by-key table and write it as a new epoch.
+    """Fold one micro-batch into the latest-by-key table.
 
-    The previous epoch is read back from storage (not from the stream's
-    lineage), so state is bounded by the table, never by the stream history.
+    Only the buckets that the batch touches are read, merged and written; the others stay
+    where they are. Folders that neither the new manifest nor the one before names are
+    removed, so that a reader of the previous manifest can finish.
     """
     spec = SPECS[table]
-    path = f"{silver_root.rstrip('/')}/{table}"
-    try:
-        # epochs before this one: a replayed epoch must not see its own output
-        history = spark.read.parquet(path).where(F.col("epoch") < epoch_id)
-    except Exception:  # noqa: BLE001 - first epoch, nothing written yet
-        history = None
-    current = None if history is None or history.isEmpty() else \
-        latest_batch(history, "epoch").drop("epoch")
+    root = f"{silver_root.rstrip('/')}/{table}"
+    seq, held = _manifest(spark, root)
+    bucket = F.pmod(F.xxhash64(spec.key), F.lit(BUCKETS)).cast("int")
     rows = batch.select(*bronze_schema(table).fieldNames())
-    both = rows if current is None else current.unionByName(rows)
-    merged = latest_by_key(both, spec.key, list(spec.order_by), list(spec.tie_breakers))
-    write_partitioned(merged.withColumn("epoch", F.lit(epoch_id).cast("long")), path, "epoch")
+    touched = [r[0] for r in rows.select(bucket.alias("b")).distinct().collect()]  # at most BUCKETS
+    if not touched:
+        return
+    old = _read_buckets(spark, root, table, {b: held[b] for b in touched if b in held})
+    merged = latest_by_key(old.unionByName(rows), spec.key, list(spec.order_by), list(spec.tie_breakers))
+    folder = f"{epoch_id}-{uuid.uuid4().hex}"
+    merged.withColumn("bucket", bucket).write.partitionBy("bucket").parquet(f"{root}/data/{folder}")
+    now = held | dict.fromkeys(touched, folder)
+    (spark.createDataFrame(sorted(now.items()), MANIFEST).coalesce(1)
+     .write.mode("overwrite").parquet(f"{root}/manifest/seq={seq + 1}"))
+    for name in set(list_names(spark, f"{root}/data")) - set(now.values()) - set(held.values()):
+        delete_path(spark, f"{root}/data/{name}")
+    for name in list_names(spark, f"{root}/manifest"):
+        if int(name.removeprefix("seq=")) < seq:
+            delete_path(spark, f"{root}/manifest/{name}")
 
 
 def stream_silver(spark: SparkSession, bronze_root: str, silver_root: str, table: str,

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -99,16 +100,24 @@ def _source_at(spark, version_date):
 
 def test_pipeline_two_batches(spark, tmpdir_run):
     root = os.path.join(tmpdir_run, "lake")
-    fx = fixtures.fx_rates_raw(spark)
-    rep1 = run_pipeline(spark, _source_at(spark, "2026-07-01"), fx, root, "2026-07-01",
-                        ingestion_ts="2026-07-01 01:00:00")
+    good = '{"base_code": "USD", "time_last_update_utc": "Wed, 01 Jul 2026 00:00:01 +0000", "rates": {"INR": 83.25}}'
+    feed = spark.createDataFrame(
+        [(dt.date(2026, 7, 1), "SUCCESS", good), (dt.date(2026, 7, 1), "SUCCESS", good),
+         (dt.date(2026, 7, 2), "FAILED", None)], "snapshot_date date, status string, payload string")
+    rep1 = run_pipeline(spark, _source_at(spark, "2026-07-01"), None, root, "2026-07-01",
+                        ingestion_ts="2026-07-01 01:00:00", fx_snapshots=feed)
     assert all(r.passed for r in rep1.collect())
     # keep the first run's fact: the second run overwrites the gold zone
     spark.read.parquet(f"{root}/gold/fact_sales").write.parquet(f"{tmpdir_run}/fact1")
     fact1 = spark.read.parquet(f"{tmpdir_run}/fact1")
     assert fact1.count() > 0
-    rep2 = run_pipeline(spark, _source_at(spark, "2026-07-02"), fx, root, "2026-07-02",
-                        ingestion_ts="2026-07-02 01:00:00")
+    rep2 = run_pipeline(spark, _source_at(spark, "2026-07-02"), None, root, "2026-07-02",
+                        ingestion_ts="2026-07-02 01:00:00", fx_snapshots=feed)
+    audit = spark.read.parquet(f"{root}/state/layer_counts")
+    status = {r.batch_date: r.fx_status for r in audit.select("batch_date", "fx_status").distinct().collect()}
+    assert status == {dt.date(2026, 7, 1): "SUCCESS", dt.date(2026, 7, 2): "DEGRADED"}
+    rates = spark.read.parquet(f"{root}/silver/orders").select("currency_code", "exchange_rate").distinct()
+    assert {r.currency_code: r.exchange_rate for r in rates.collect()}["INR"] == 83.25
     assert all(r.passed for r in rep2.collect())
     dim = spark.read.parquet(f"{root}/gold/dim_customer")
     # customer 10 moved in the second batch: the dimension holds the new city
@@ -144,6 +153,102 @@ def test_streaming_bronze_and_silver(spark, tmpdir_run):
     cur = read_current(spark, silver, "customers")
     assert cur.count() == cust.select("customer_id").distinct().count()
     assert cur.where("customer_id = 10").first().city.endswith("moved")
+    # a lost checkpoint replays everything under epoch ids from 0: nothing is lost or doubled
+    before = cur.count()
+    stream_silver(spark, bronze, silver, "customers", ck + "/fresh").awaitTermination()
+    again = read_current(spark, silver, "customers")
+    assert again.count() == before and again.where("customer_id = 10").first().city.endswith("moved")
+    assert len(os.listdir(f"{silver}/customers/manifest")) == 2
+
+
+def test_streamed_merge_touches_only_its_buckets(spark, tmpdir_run):
+    from lakeforge.streaming.ingest import merge_batch, read_current
+    cust = fixtures.adapter(spark, SF_SMALL, "customers").where("batch_date = date'2026-07-01'")
+    merge_batch(spark, tmpdir_run, "customers", cust, 0)
+    held = set(os.listdir(f"{tmpdir_run}/customers/data"))
+    one = cust.where("customer_id = 1").withColumn("city", F.lit("new")).withColumn(
+        "ingestion_timestamp", F.expr("ingestion_timestamp + interval 1 day"))
+    merge_batch(spark, tmpdir_run, "customers", one, 0)
+    fresh = set(os.listdir(f"{tmpdir_run}/customers/data")) - held
+    assert len(fresh) == 1
+    assert len([n for n in os.listdir(f"{tmpdir_run}/customers/data/{fresh.pop()}") if n.startswith("bucket")]) == 1
+    now = read_current(spark, tmpdir_run, "customers")
+    assert now.count() == cust.count() and now.where("customer_id = 1").first().city == "new"
+    # a damaged table must raise, not look empty
+    for name in os.listdir(f"{tmpdir_run}/customers/data"):
+        os.rename(f"{tmpdir_run}/customers/data/{name}", f"{tmpdir_run}/gone-{name}")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        merge_batch(spark, tmpdir_run, "customers", one, 1)
+
+
+def test_landed_csv_is_read_by_name(spark, tmpdir_run):
+    from lakeforge.operators.quality import check_batch
+    from lakeforge.schemas import RAW_REQUIRED_ORDER_COLUMNS
+    from lakeforge.sources.files import batch_path, read_landed, uncastable
+    path = batch_path(tmpdir_run, "orders", "2026-07-01")
+    os.makedirs(path)
+    with open(f"{path}/a.csv", "w") as f:
+        f.write("customer_id,order_id,extra,order_date,order_status,currency_code\n"
+                "7,1,x,2026-07-01 00:00:00,done,USD\nbad,2,y,2026-07-01 00:00:00,done,USD\n")
+    landed = read_landed(spark, path)
+    report = check_batch(landed, "orders", RAW_REQUIRED_ORDER_COLUMNS).first()
+    assert (report.missing_columns, report.passed) == ("store_id", False)
+    assert landed.agg(uncastable(landed, RAW_SCHEMAS["orders"]).alias("n")).first().n == 1
+    rows = read_raw_csv(spark, tmpdir_run, "orders", "2026-07-01").orderBy("order_id").collect()
+    assert [(r.order_id, r.customer_id, r.store_id, r.order_status) for r in rows] == [
+        (1, 7, None, "done"), (2, None, None, "done")]
+    with open(f"{path}/b.csv", "w") as f:
+        f.write("order_id,customer_id,extra,order_date,order_status,currency_code\n3,8,z,,done,USD\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_landed(spark, path).collect()
+
+
+def test_stream_refuses_another_header(spark, tmpdir_run):
+    from lakeforge.streaming.ingest import stream_bronze
+    path = os.path.join(tmpdir_run, "raw", "stores", "batch_date=2026-07-01")
+    os.makedirs(path)
+    with open(f"{path}/a.csv", "w") as f:
+        f.write("store_name,store_id,store_type,store_size,region,country,opened_date,created_at\nx,1,a,b,c,d,,\n")
+    query = stream_bronze(spark, f"{tmpdir_run}/raw", f"{tmpdir_run}/bronze", "stores", f"{tmpdir_run}/ck")
+    with pytest.raises(Exception, match="CSV header|FAILED_READ_FILE|STREAM_FAILED"):
+        query.awaitTermination()
+
+
+def test_first_run_without_orders(spark, tmpdir_run):
+    source = _source_at(spark, "2026-07-01")
+    run_pipeline(spark, lambda t: source(t).where("false") if t == "orders" else source(t),
+                 fixtures.fx_rates_raw(spark), f"{tmpdir_run}/lake", "2026-07-01")
+    orders = spark.read.parquet(f"{tmpdir_run}/lake/silver/orders")
+    assert orders.count() == 0 and "exchange_rate" in orders.columns
+
+
+def test_state_survives_a_broken_write(spark, tmpdir_run):
+    from lakeforge.sources.watermark import read_state, write_state
+    path = f"{tmpdir_run}/state"
+    assert read_state(spark, path).count() == 0
+    for day in (1, 2, 3):
+        write_state(spark.createDataFrame([("p", dt.datetime(2026, 7, day), None)], STATE_SCHEMA), path)
+    os.makedirs(f"{path}/version=9")  # a write that never finished
+    assert read_state(spark, path).first().last_watermark == dt.datetime(2026, 7, 3)
+    assert sorted(os.listdir(path)) == ["version=1", "version=2", "version=9"]
+
+
+def test_views_snapshot_and_table_append(spark, tmpdir_run):
+    from lakeforge.plans.registry import fixture_context, preview, register_views
+    from lakeforge.sinks.writers import append_to_table
+    from lakeforge.sources.extract import read_snapshot
+    from lakeforge.sources.files import read_silver
+    ctx = fixture_context(spark, SF_SMALL)
+    register_views(ctx, ["dim_store"], "v_")
+    n = spark.table("v_dim_store").count()
+    ctx.ref("dim_store").write.parquet(f"{tmpdir_run}/silver/stores")
+    assert read_silver(spark, f"{tmpdir_run}/silver", "stores").count() == n
+    assert read_snapshot(spark, "stores", path=f"{tmpdir_run}/silver/stores").count() == n
+    preview(ctx.ref("dim_store"), 1, enabled=True)
+    spark.sql(f"CREATE TABLE appended (A int, b string) USING parquet LOCATION '{tmpdir_run}/appended'")
+    append_to_table(spark.createDataFrame([("x", 1)], "B string, a int"), "appended")
+    assert [tuple(r) for r in spark.table("appended").collect()] == [(1, "x")]
+    spark.sql("DROP TABLE appended")
 
 
 def test_cli_over_written_bronze_matches_fixture_run(spark, tmpdir_run):
