@@ -56,11 +56,11 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     for s in range(phases):
         cut = cut.withColumn(f"_e{s}", _ends(window, divisor, s))
     chunks = written(cut.where("size(_h) > 1").select("_key", F.explode(_chunks(phases, min_lines)).alias("c"))
-                     .select("_key", "c.*").distinct(), "chunks")
+                     .select("_key", "c.*"), "chunks")
     again = written(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"),
                     "repeated-chunks")
     suspects = written(chunks.join(again, "h").groupBy("_key")
-                       .agg(F.collect_list(F.struct("a", "z", "h")).alias("_c")), "suspects")
+                       .agg(F.collect_set(F.struct("a", "z")).alias("_c")), "suspects")
     # Bloom filters of the keys keep the texts of other documents out of the shuffles
     near = BloomFilter.of(suspects, "_key").probe(
         keyed.select("_key", F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_key", "_may")
@@ -71,11 +71,13 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
                        .alias("chunk"))
                .where(F.length("chunk") >= min_chars))
     spelled = written(spelled, "occurrences")
-    first = written(spelled.groupBy("h").agg(F.min(F.struct("_id", "_key", "a", "chunk")).alias("f"),
-                                             F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "first")
-    gone = (spelled.join(first, "h")
-            .where((F.col("chunk") == F.col("f.chunk"))
-                   & ((F.col("_key") != F.col("f._key")) | (F.col("a") != F.col("f.a"))))
+    # grouping by the chunk compares its bytes; its digest then names the group to narrow rows
+    digest = F.unhex(F.sha2("chunk", 256)).alias("d")
+    first = written(spelled.groupBy("chunk").agg(F.min(F.struct("_id", "_key", "a")).alias("f"),
+                                                 F.count(F.lit(1)).alias("n")).where("n > 1").select(digest, "f"),
+                    "first")
+    gone = (spelled.select("_key", "a", "z", digest).join(first, "d")
+            .where((F.col("_key") != F.col("f._key")) | (F.col("a") != F.col("f.a")))
             .groupBy("_key").agg(F.collect_set(F.struct("a", "z")).alias("_gone"))
             .withColumnRenamed("_key", "_gone_key"))
     gone = written(gone, "removed")
