@@ -64,7 +64,8 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     # Bloom filters of the keys keep the texts of other documents out of the shuffles
     near = BloomFilter.of(suspects, "_key").probe(
         keyed.select("_key", F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_key", "_may")
-    spelled = (near.where("_may").join(suspects, "_key").dropDuplicates(["_key"])
+    # merge joins at any size: both sides grow with the documents, whatever a small input allows
+    spelled = (near.where("_may").join(suspects.hint("merge"), "_key").dropDuplicates(["_key"])
                .withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
                .select("_key", "_id", "_lines", F.explode("_c").alias("c"))
                .select("_key", "_id", "c.*", F.expr("array_join(slice(_lines, c.a + 1, c.z - c.a + 1), '\n')")
@@ -86,7 +87,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     untouched = rows.where("not _may").withColumn("lines_removed", F.lit(0))
     left = F.expr("filter(_lines, (x, i) -> not exists(_gone, g -> i between g.a and g.z))")
     lost = F.col("_gone").isNotNull()
-    touched = (rows.where("_may").join(gone, F.col("_key") == F.col("_gone_key"), "left")
+    touched = (rows.where("_may").join(gone.hint("merge"), F.col("_key") == F.col("_gone_key"), "left")
                .withColumn("_left", F.when(lost, left).otherwise(F.col("_lines")))
                .withColumn("lines_removed", F.size("_lines") - F.size("_left"))
                .withColumn(text_col, F.when(lost, F.array_join("_left", "\n")).otherwise(F.col(text_col)))
