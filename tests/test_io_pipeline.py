@@ -11,7 +11,7 @@ from lakeforge.operators.latest import latest_by_key
 from lakeforge.plans.bronze import run_bronze, with_lineage
 from lakeforge.plans.pipeline import run_pipeline
 from lakeforge.schemas import RAW_SCHEMAS, SPECS
-from lakeforge.sinks.writers import land_csv, write_partitioned
+from lakeforge.sinks.writers import land_csv
 from lakeforge.sources import fixtures
 from lakeforge.sources.extract import read_incremental
 from lakeforge.sources.files import latest_batch, read_bronze, read_corrupt_count, read_raw_csv
