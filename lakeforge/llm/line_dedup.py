@@ -1,11 +1,13 @@
 """Line dedup by content-defined chunks of lines.
 
-Every line is hashed; a rolling hash over the last lines ends a chunk where ``divisor``
-divides it. Such ends depend on the lines near them alone, so a passage that many
-documents share is cut alike wherever it stands. Several phases, each with its own seed,
-cut each document anew, so that lines at the rim of a passage, missed by one phase, are
-met by another. Chunks of two lines or more that occur again anywhere are compared byte
-by byte with the first of their occurrences, and all but that one are removed.
+Every line is hashed; a rolling hash over two neighbouring lines decides whether a chunk
+goes on from one to the other. It ends there where that hash occurs nowhere else in the
+corpus, as no repeated chunk can span such a place; so a passage that many documents share
+starts and ends alike wherever it stands. Further phases, each with its own seed, also end
+chunks where ``divisor`` divides the hash, which meets documents that hold a passage in
+part. Chunks of two lines or more, and single lines of more than ``long_words`` words, that
+occur again anywhere are compared byte by byte with the first of their occurrences, and all
+but that one are removed.
 
 A line goes only because of an equal line in a smaller document, or further up in its
 own, so the first occurrence of every line stays somewhere.
@@ -18,44 +20,71 @@ from pyspark.sql import functions as F
 
 from .common import BloomFilter, written
 
+UNIT = "array<struct<a: int, z: int, h: bigint>>"
 
-def _ends(window: int, divisor: int, seed: int) -> Column:
-    """Last lines of the chunks of one phase, from the line hashes _h."""
-    last = ", ".join(f"coalesce(get(_h, i - {j}), 0L)" for j in range(window))
-    return F.expr(f"filter(sequence(0, size(_h) - 1), i -> i = size(_h) - 1 "
-                  f"or pmod(xxhash64({last}, {seed}), {divisor}) = 0)")
 
+def _units(long_words: int) -> Column:
+    """Neighbouring lines (a, z = a + 1) and long lines (a = z) with their hashes, from _lines and _h."""
+    pairs = ("transform(sequence(0, size(_h) - 2), "
+             "i -> struct(i as a, i + 1 as z, xxhash64(_h[i], _h[i + 1]) as h))")
+    # words of a line are counted by the blanks between them
+    many = (f"length(_lines[i]) > {2 * long_words} and "
+            f"length(_lines[i]) - length(replace(_lines[i], ' ', '')) >= {long_words}")
+    alone = (f"transform(filter(sequence(0, size(_h) - 1), i -> {many}), "
+             "i -> struct(i as a, i as z, xxhash64(_h[i]) as h))")
+    return F.expr(f"concat(cast(if(size(_h) > 1, {pairs}, array()) as {UNIT}), cast({alone} as {UNIT}))")
 
-def _chunks(phases: int, min_lines: int) -> Column:
-    """Distinct chunks (a: first line, z: last line, h: hash of the line hashes) of all phases."""
-    spans = ", ".join(
-        f"transform(_e{s}, (z, k) -> struct(if(k = 0, 0, get(_e{s}, k - 1) + 1) as a, z as z))"
-        for s in range(phases))
-    return F.expr(f"transform(array_distinct(filter(concat({spans}), c -> c.z - c.a + 1 >= {min_lines})), "
-                  "c -> struct(c.a as a, c.z as z, xxhash64(slice(_h, c.a + 1, c.z - c.a + 1)) as h))")
 
+def _with_chunks(units: DataFrame, phases: int, divisor: int) -> DataFrame:
+    """(_key, _chunks): distinct chunks of all phases, from the sorted repeated units _p (pairs) and _s.
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2,
-                divisor: int = 2, phases: int = 4, min_lines: int = 2, min_chars: int = 40) -> DataFrame:
+    A chunk is a run of pairs that follow each other; a phase leaves out the pairs at
+    which it cuts, the first phase none.
+    """
+    found = ["transform(_s, u -> struct(u.a as a, u.a as z, u.h as h))"]
+    for s in range(phases):
+        kept = "_p" if s == 0 else f"filter(_p, u -> pmod(xxhash64(u.h, {s}), {divisor}) <> 0)"
+        units = units.withColumn(f"_k{s}", F.expr(kept))
+        k = f"_k{s}"
+        units = (units
+                 .withColumn(f"_b{s}", F.expr(f"filter(transform({k}, (u, i) -> if(i > 0 and get({k}, i - 1).a = u.a - 1,"
+                                              " null, i)), i -> i is not null)"))
+                 .withColumn(f"_e{s}", F.expr(f"filter(transform({k}, (u, i) -> if(get({k}, i + 1).a = u.a + 1, null, i)),"
+                                              " i -> i is not null)")))
+        found.append(f"transform(_b{s}, (b, n) -> struct({k}[b].a as a, {k}[_e{s}[n]].z as z, "
+                     f"xxhash64(slice({k}.h, b + 1, _e{s}[n] - b + 1)) as h))")
+    spans = ", ".join(f"cast({x} as {UNIT})" for x in found)
+    return units.select("_key", F.expr(f"array_distinct(concat({spans}))").alias("_chunks"))
+
+
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = 2,
+                phases: int = 4, min_chars: int = 40, long_words: int = 50) -> DataFrame:
     """``df`` with its text less repeated chunks, and lines_before and lines_removed
     (replacing columns of these names).
 
-    Lines end at line feeds. Chunks shorter than ``min_lines`` or ``min_chars`` are left.
-    The first occurrence is that of the smallest id (null ids first), then the smallest
-    text hash, then the highest up. Rows stay even where nothing of their text is left
-    (then it is empty). A null text stays null and has no line; an empty one is one empty
-    line. Repeated rows (same id and text) count as one document and have one result. An
-    empty table gives an empty result; very long texts are cut whole.
+    Lines end at line feeds. Chunks shorter than ``min_chars`` are left, and so are single
+    lines of up to ``long_words`` words. The first occurrence is that of the smallest id
+    (null ids first), then the smallest text hash, then the highest up. Rows stay even
+    where nothing of their text is left (then it is empty). A null text stays null and has
+    no line; an empty one is one empty line. Repeated rows (same id and text) count as one
+    document and have one result. An empty table gives an empty result; very long texts
+    are cut whole.
     """
     df = df.drop("lines_before", "lines_removed")
     keyed = df.withColumn("_key", F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"),
                                            F.hex(F.xxhash64(F.coalesce(text_col, F.lit(""))))))
     lines = F.split(F.coalesce(text_col, F.lit("")), "\n", -1)
-    cut = (keyed.select("_key", F.col(id_col).alias("_id"), lines.alias("_lines"))
-           .withColumn("_h", F.transform("_lines", lambda x: F.xxhash64(x))))
-    for s in range(phases):
-        cut = cut.withColumn(f"_e{s}", _ends(window, divisor, s))
-    chunks = written(cut.where("size(_h) > 1").select("_key", F.explode(_chunks(phases, min_lines)).alias("c"))
+    units = written(keyed.select("_key", lines.alias("_lines"))
+                    .withColumn("_h", F.transform("_lines", lambda x: F.xxhash64(x)))
+                    .select("_key", F.explode(_units(long_words)).alias("u")).select("_key", "u.*"), "line-units")
+    # two places at least; repeated rows are one place
+    place = F.xxhash64("_key", "a")
+    often = written(units.groupBy("h").agg(F.min(place).alias("one"), F.max(place).alias("other"))
+                    .where("one <> other").select("h"), "repeated-units")
+    met = (units.join(often, "h").groupBy("_key").agg(F.sort_array(F.collect_set(F.struct("a", "z", "h"))).alias("_u"))
+           .select("_key", F.filter("_u", lambda u: u["a"] < u["z"]).alias("_p"),
+                   F.filter("_u", lambda u: u["a"] == u["z"]).alias("_s")))
+    chunks = written(_with_chunks(met, phases, divisor).select("_key", F.explode("_chunks").alias("c"))
                      .select("_key", "c.*"), "chunks")
     again = written(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"),
                     "repeated-chunks")
