@@ -15,7 +15,7 @@ own, so the first occurrence of every line stays somewhere.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BloomFilter, written
@@ -35,26 +35,27 @@ def _units(long_words: int) -> Column:
     return F.expr(f"concat(cast(if(size(_h) > 1, {pairs}, array()) as {UNIT}), cast({alone} as {UNIT}))")
 
 
-def _with_chunks(units: DataFrame, phases: int, divisor: int) -> DataFrame:
-    """(_key, _chunks): distinct chunks of all phases, from the sorted repeated units _p (pairs) and _s.
+def _chunks(units: DataFrame, phases: int, divisor: int) -> DataFrame:
+    """Distinct chunks (_key, a, z, h) of all phases, from distinct units (_key, a, z, h).
 
     A chunk is a run of pairs that follow each other; a phase leaves out the pairs at
-    which it cuts, the first phase none.
+    which it cuts, the first phase none. Long lines are chunks as they are. The windows
+    and groupings all follow the one shuffle by _key.
     """
-    found = ["transform(_s, u -> struct(u.a as a, u.a as z, u.h as h))"]
-    for s in range(phases):
-        kept = "_p" if s == 0 else f"filter(_p, u -> pmod(xxhash64(u.h, {s}), {divisor}) <> 0)"
-        units = units.withColumn(f"_k{s}", F.expr(kept))
-        k = f"_k{s}"
-        units = (units
-                 .withColumn(f"_b{s}", F.expr(f"filter(transform({k}, (u, i) -> if(i > 0 and get({k}, i - 1).a = u.a - 1,"
-                                              " null, i)), i -> i is not null)"))
-                 .withColumn(f"_e{s}", F.expr(f"filter(transform({k}, (u, i) -> if(get({k}, i + 1).a = u.a + 1, null, i)),"
-                                              " i -> i is not null)")))
-        found.append(f"transform(_b{s}, (b, n) -> struct({k}[b].a as a, {k}[_e{s}[n]].z as z, "
-                     f"xxhash64(slice({k}.h, b + 1, _e{s}[n] - b + 1)) as h))")
-    spans = ", ".join(f"cast({x} as {UNIT})" for x in found)
-    return units.select("_key", F.expr(f"array_distinct(concat({spans}))").alias("_chunks"))
+    placed = units.repartition("_key")
+    cut = [F.when(F.pmod(F.xxhash64("h", F.lit(s)), F.lit(divisor)) != 0, s) for s in range(1, phases)]
+    pairs = (placed.where("a < z").withColumn("s", F.explode(F.array(F.lit(0), *cut)))
+             .where(F.col("s").isNotNull()))
+    along = Window.partitionBy("_key", "s").orderBy("a")
+    begins = F.col("prev").isNull() | (F.col("prev") != F.col("a") - 1)
+    runs = (pairs.withColumn("prev", F.lag("a").over(along))
+            .withColumn("start", F.last(F.when(begins, F.col("a")), ignorenulls=True).over(along)))
+    unit = F.xxhash64("h", F.col("a") - F.col("start"))
+    found = (runs.groupBy("_key", "s", "start")
+             .agg(F.max("z").alias("z"), F.bit_xor(unit).alias("x"))
+             .select("_key", F.col("start").alias("a"), "z", F.xxhash64("x", F.col("z") - F.col("start")).alias("h"))
+             .distinct())
+    return found.union(units.where("a = z").select("_key", "a", "z", "h"))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = 2,
@@ -81,11 +82,8 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     place = F.xxhash64("_key", "a")
     often = written(units.groupBy("h").agg(F.min(place).alias("one"), F.max(place).alias("other"))
                     .where("one <> other").select("h"), "repeated-units")
-    met = (units.join(often, "h").groupBy("_key").agg(F.sort_array(F.collect_set(F.struct("a", "z", "h"))).alias("_u"))
-           .select("_key", F.filter("_u", lambda u: u["a"] < u["z"]).alias("_p"),
-                   F.filter("_u", lambda u: u["a"] == u["z"]).alias("_s")))
-    chunks = written(_with_chunks(met, phases, divisor).select("_key", F.explode("_chunks").alias("c"))
-                     .select("_key", "c.*"), "chunks")
+    met = written(units.join(often, "h").select("_key", "a", "z", "h").distinct(), "met-units")
+    chunks = written(_chunks(met, phases, divisor), "chunks")
     again = written(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"),
                     "repeated-chunks")
     suspects = written(chunks.join(again, "h").groupBy("_key")
@@ -108,17 +106,20 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
                     "first")
     gone = (spelled.select("_key", "a", "z", digest).join(first, "d")
             .where((F.col("_key") != F.col("f._key")) | (F.col("a") != F.col("f.a")))
-            .groupBy("_key").agg(F.collect_set(F.struct("a", "z")).alias("_gone"))
+            .select("_key", F.explode(F.sequence("a", "z")).alias("line"))
+            .groupBy("_key").agg(F.collect_set("line").alias("_gone"))
             .withColumnRenamed("_key", "_gone_key"))
     gone = written(gone, "removed")
-    rows = BloomFilter.of(gone, "_gone_key").probe(keyed, "_key", "_may").withColumn("_lines", lines)
-    rows = rows.withColumn("lines_before", F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_lines")))
-    untouched = rows.where("not _may").withColumn("lines_removed", F.lit(0))
-    left = F.expr("filter(_lines, (x, i) -> not exists(_gone, g -> i between g.a and g.z))")
+    rows = BloomFilter.of(gone, "_gone_key").probe(keyed, "_key", "_may")
+    before = F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_lines")).alias("lines_before")
+    untouched = (rows.where("not _may").withColumn("_lines", lines)
+                 .select("*", before, F.lit(0).alias("lines_removed")).drop("_lines"))
+    left = F.expr("transform(array_except(sequence(0, size(_lines) - 1), _gone), i -> _lines[i])")
     lost = F.col("_gone").isNotNull()
     touched = (rows.where("_may").join(gone.hint("merge"), F.col("_key") == F.col("_gone_key"), "left")
-               .withColumn("_left", F.when(lost, left).otherwise(F.col("_lines")))
+               .withColumn("_lines", lines)
+               .select("*", before, F.when(lost, left).otherwise(F.col("_lines")).alias("_left"))
                .withColumn("lines_removed", F.size("_lines") - F.size("_left"))
                .withColumn(text_col, F.when(lost, F.array_join("_left", "\n")).otherwise(F.col(text_col)))
-               .drop("_gone_key", "_gone", "_left"))
-    return untouched.unionByName(touched).drop("_key", "_lines", "_may")
+               .drop("_gone_key", "_gone", "_left", "_lines"))
+    return untouched.unionByName(touched).drop("_key", "_may")
