@@ -18,6 +18,9 @@ from lakeforge.llm.queries import QUALITY_THRESHOLD, held_out
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Near duplicates of the pipeline share so many percent of their word shingles; op7's own 85 is its query's.
+NEAR_PERCENT = 80
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier, fitted on their labels, doesn't reject."""
@@ -33,8 +36,8 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    found = hyperminhash.near_duplicates(docs)
+    """One document of each group of near duplicates (NEAR_PERCENT): the one with the smallest id."""
+    found = hyperminhash.near_duplicates(docs, percent=NEAR_PERCENT)
     stay = written(found.where("kept").select("row_key").distinct(), "kept-rows")
     key = hyperminhash.row_key("doc_id", "text")
     rows = docs.withColumn("row_key", key).join(stay, "row_key", "left_semi")

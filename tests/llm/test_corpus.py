@@ -372,3 +372,20 @@ def test_pipeline_stages_on_hard_rows(spark, hard, none, tmp_path):
                 assert Counter(r.doc_id for r in rows) == Counter([None, 1, 2, 3, 4, 7])
         assert corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).count() == (0 if docs.isEmpty() else
                sum(-(-len([*packing.encode(t), 2]) // 1024) for _, t in ROWS))
+
+
+def test_pipeline_removes_near_copies_from_four_fifths(spark):
+    """Pairs with one changed word: similarities of 0.81 to 0.84, and a few below 0.8."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    rows = []
+    for n in [*range(52, 62), 40, 44, 48] * 6:
+        base = [word() for _ in range(n)]
+        at = rng.randrange(8, n - 8)
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join([*base[:at], word(), *base[at + 1:]]))]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [r.doc_id for r in corpus_pipeline.minhash_near_dedup(spark, docs, SF).collect()]
+    want = {root for _, root in _brute_components(rows, 80).values()}
+    assert Counter(kept) == Counter(want) and len(want) == len(rows) - 60
+    assert len(set(root for _, root in _brute_components(rows).values())) == len(rows)
