@@ -9,6 +9,10 @@ part. Chunks of two lines or more, and single lines of more than ``long_words``
 occur again anywhere are compared byte by byte with the first of their occurrences, and all
 but that one are removed.
 
+With ``every_pair`` each repeated pair of lines is a chunk of its own, the smallest there is.
+Every longer repeated chunk is a run of such pairs, so whatever the phases remove goes, and
+a passage goes whole also where the pairs at its rims occur elsewhere; no phase is needed.
+
 A line goes only because of an equal line in a smaller document, or further up in its
 own, so the first occurrence of every line stays somewhere.
 """
@@ -58,13 +62,32 @@ def _chunks(units: DataFrame, phases: int, divisor: int) -> DataFrame:
     return found.union(units.where("a = z").select("_key", "a", "z", "h"))
 
 
+def _long_runs(units: DataFrame, min_chars: int) -> DataFrame:
+    """Lines (_key, line) of the units (_key, a, z, n_a, n) whose runs have ``min_chars`` characters.
+
+    ``n`` are the characters of a unit, ``n_a`` those of its first line; line feeds inside
+    of a run count.
+    """
+    n_z = F.when(F.col("a") < F.col("z"), F.col("n") - F.col("n_a") - 1).otherwise(F.col("n_a"))
+    lines = (units.select("_key", F.explode(F.array(F.struct(F.col("a").alias("line"), F.col("n_a").alias("size")),
+                                                    F.struct(F.col("z").alias("line"), n_z.alias("size")))).alias("l"))
+             .select("_key", "l.*").repartition("_key").distinct())
+    down = Window.partitionBy("_key").orderBy("line")
+    run = F.col("line") - F.row_number().over(down)
+    whole = F.sum(F.col("size") + 1).over(Window.partitionBy("_key", "run")) - 1
+    return (lines.withColumn("run", run).withColumn("chars", whole)
+            .where(F.col("chars") >= min_chars).select("_key", "line"))
+
+
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = 2,
-                phases: int = 4, min_chars: int = 40, long_words: int = 50) -> DataFrame:
+                phases: int = 4, min_chars: int = 40, long_words: int = 50,
+                every_pair: bool = False) -> DataFrame:
     """``df`` with its text less repeated chunks, and lines_before and lines_removed
     (replacing columns of these names).
 
     Lines end at line feeds. Chunks shorter than ``min_chars`` are left, and so are single
-    lines of up to ``long_words`` words. The first occurrence is that of the smallest id
+    lines of up to ``long_words`` words; with ``every_pair``, which ignores ``divisor`` and
+    ``phases``, it is the runs of removed lines that must have ``min_chars``. The first occurrence is that of the smallest id
     (null ids first), then the smallest text hash, then the highest up. Rows stay even
     where nothing of their text is left (then it is empty). A null text stays null and has
     no line; an empty one is one empty line. Repeated rows (same id and text) count as one
@@ -83,11 +106,14 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     often = written(units.groupBy("h").agg(F.min(place).alias("one"), F.max(place).alias("other"))
                     .where("one <> other").select("h"), "repeated-units")
     met = written(units.join(often, "h").select("_key", "a", "z", "h").distinct(), "met-units")
-    chunks = written(_chunks(met, phases, divisor), "chunks")
-    again = written(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"),
-                    "repeated-chunks")
-    suspects = written(chunks.join(again, "h").groupBy("_key")
-                       .agg(F.collect_set(F.struct("a", "z")).alias("_c")), "suspects")
+    if every_pair:
+        repeated = met
+    else:
+        chunks = written(_chunks(met, phases, divisor), "chunks")
+        again = written(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"),
+                        "repeated-chunks")
+        repeated = chunks.join(again, "h")
+    suspects = written(repeated.groupBy("_key").agg(F.collect_set(F.struct("a", "z")).alias("_c")), "suspects")
     # Bloom filters of the keys keep the texts of other documents out of the shuffles
     near = BloomFilter.of(suspects, "_key").probe(
         keyed.select("_key", F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_key", "_may")
@@ -95,19 +121,22 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     spelled = (near.where("_may").join(suspects.hint("merge"), "_key").dropDuplicates(["_key"])
                .withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
                .select("_key", "_id", "_lines", F.explode("_c").alias("c"))
-               .select("_key", "_id", "c.*", F.expr("array_join(slice(_lines, c.a + 1, c.z - c.a + 1), '\n')")
-                       .alias("chunk"))
-               .where(F.length("chunk") >= min_chars))
+               .select("_key", "_id", "c.*", F.expr("length(_lines[c.a])").alias("n_a"),
+                       F.expr("array_join(slice(_lines, c.a + 1, c.z - c.a + 1), '\n')").alias("chunk"))
+               .where(F.length("chunk") >= (0 if every_pair else min_chars)))
     spelled = written(spelled, "occurrences")
     # grouping by the chunk compares its bytes; its digest then names the group to narrow rows
     digest = F.unhex(F.sha2("chunk", 256)).alias("d")
     first = written(spelled.groupBy("chunk").agg(F.min(F.struct("_id", "_key", "a")).alias("f"),
                                                  F.count(F.lit(1)).alias("n")).where("n > 1").select(digest, "f"),
                     "first")
-    gone = (spelled.select("_key", "a", "z", digest).join(first, "d")
-            .where((F.col("_key") != F.col("f._key")) | (F.col("a") != F.col("f.a")))
-            .select("_key", F.explode(F.sequence("a", "z")).alias("line"))
-            .groupBy("_key").agg(F.collect_set("line").alias("_gone"))
+    gone = (spelled.select("_key", "a", "z", "n_a", F.length("chunk").alias("n"), digest).join(first, "d")
+            .where((F.col("_key") != F.col("f._key")) | (F.col("a") != F.col("f.a"))))
+    if every_pair:
+        gone = _long_runs(gone, min_chars)
+    else:
+        gone = gone.select("_key", F.explode(F.sequence("a", "z")).alias("line"))
+    gone = (gone.groupBy("_key").agg(F.collect_set("line").alias("_gone"))
             .withColumnRenamed("_key", "_gone_key"))
     gone = written(gone, "removed")
     rows = BloomFilter.of(gone, "_gone_key").probe(keyed, "_key", "_may")

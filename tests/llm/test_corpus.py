@@ -389,3 +389,47 @@ def test_pipeline_removes_near_copies_from_four_fifths(spark):
     want = {root for _, root in _brute_components(rows, 80).values()}
     assert Counter(kept) == Counter(want) and len(want) == len(rows) - 60
     assert len(set(root for _, root in _brute_components(rows).values())) == len(rows)
+
+
+def test_line_dedup_of_passages_whose_rims_recur(spark):
+    """Parts of passages stand alone elsewhere, copies are edited at different lines, short lines make runs."""
+    rng = random.Random(11)
+    line = lambda n=9: " ".join("".join(rng.choices("abcdef", k=5)) for _ in range(n))
+    texts, common = [], line()
+    for n in (2, 3, 4, 10):
+        for _ in range(8):
+            passage, fill = [line() for _ in range(n)], lambda: [line() for _ in range(rng.randint(1, 3))]
+            texts += [[*fill(), *passage, *fill()], [*fill(), common, *passage, *fill()],
+                      [*fill(), *passage[n // 2:], *fill(), *passage[:n // 2 + 1], *fill(), common, passage[0]]]
+    base = [line() for _ in range(12)]
+    for i in range(10):
+        texts.append([*base[:i], line(), *base[i + 1:]])
+    few = [["ab", "cd", "e"], [f"z{i}" for i in range(14)], ["", line(), ""], [line(60)]]
+    texts += [[line(), *part, line()] for part in few * 2]
+    rng.shuffle(texts)
+    rows = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    places, gone = defaultdict(list), defaultdict(set)
+    for i, t in enumerate(texts):
+        for n, x in enumerate(t):
+            places[x, *t[n + 1:n + 2]].append((i, n, len(t[n:n + 2])))
+            if x.count(" ") >= 50:
+                places[x,].append((i, n, 1))
+    for unit, found in places.items():
+        for i, n, size in sorted(found)[1:]:
+            if size == 2 or unit[0].count(" ") >= 50:
+                gone[i] |= set(range(n, n + size))
+    for i, lines in gone.items():
+        for n in sorted(lines):
+            if n - 1 not in lines:
+                z = next(k for k in range(n, len(texts[i]) + 1) if k not in lines)
+                if len("\n".join(texts[i][n:z])) < 40:
+                    gone[i] = gone[i] - set(range(n, z))
+    want = {i: "\n".join(x for n, x in enumerate(t) if n not in gone[i]) for i, t in enumerate(texts)}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.dedup_lines(df, every_pair=True).collect()
+    assert {r.doc_id: r.text for r in found} == want
+    less = _brute_lines(rows)
+    assert all(less[i, t] <= gone[i] for i, t in rows)
+    assert sum(map(len, less.values())) < sum(map(len, gone.values()))
+    stage = corpus_pipeline.remove_repeated_lines(spark, df.withColumn("n_chars", F.lit(0)), SF).collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in stage} == {i: (t, len(t)) for i, t in want.items()}
