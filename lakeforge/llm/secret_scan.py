@@ -21,7 +21,9 @@ SAMPLE = 4000
 TREES, DEPTH, SEED = 24, 7, 17
 MIN_LENGTH = 16
 #: A candidate: a run of key characters in a word, with a digit or a capital behind a small letter.
-CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
+KEY_CHARS = r"A-Za-z0-9+/_\-"
+CANDIDATE = (rf"(?<![{KEY_CHARS}])(?=[{KEY_CHARS}]{{{MIN_LENGTH}}})(?=[{KEY_CHARS}]*?(?:[0-9]|[a-z][A-Z]))"
+             rf"[{KEY_CHARS}]+={{0,2}}")
 #: Frequent word parts of the languages met; what they cover of a word is no random key.
 PARTS = ("tion ing ment the and ent ion her ter ver ere ate ons der die ein sch und ich que les des est "
          "ado mente cion ar er en es re or an on in te de la se con pour para das not ung lich gen "
@@ -31,25 +33,32 @@ DULL_WORDS = r"(?i)(example|sample|sha\d*|md5|checksum|commit|uuid|isbn|order|in
 TEST_PATH = r"(?i)(test|spec|example|sample|fixture|mock|doc)"
 
 
+def _met(word: str, pattern: str) -> Column:
+    """Array of (label, candidate): what ``pattern`` finds in a word, in order, with what lies in front of each."""
+    lead = F.lit(rf"(?s)\G(.*?)({pattern})")
+    label, found = (F.regexp_extract_all(word, lead, F.lit(i)) for i in (1, 2))
+    return F.zip_with(label, found, lambda x, y: F.struct(x.alias("label"), y.alias("candidate")))
+
+
 def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """(id, path, position, candidate, before, label, after): every candidate of every whole text.
+    """(id, path, position, part, candidate, before, label, after): every candidate of every whole text.
 
-    ``position`` is the number of the word, from 0; ``before`` are up to three words in
-    front of it and ``after`` the next one; ``label`` is what the word itself holds in
-    front of the candidate, as in ``password=...``.
+    ``position`` is the number of the word, from 0, and ``part`` that of the candidate in
+    the word; ``before`` are up to three words in front of it and ``after`` the next one;
+    ``label`` is what the word itself holds in front of the candidate, from the one before
+    it on, as in ``password=...``.
     """
     words = F.filter(F.split(F.coalesce(text_col, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    shaped = (f"filter(sequence(0, size(_w) - 1), i -> size(_w) > 0 and length(_w[i]) >= {MIN_LENGTH} "
-              f"and _w[i] rlike '{CANDIDATE}' and _w[i] rlike '[0-9]|[a-z][A-Z]')").replace("\\", "\\\\")
+    shaped = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: F.get("_w", i).rlike(CANDIDATE))
     found = (df.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"), words.alias("_w"))
              .where(F.size("_w") > 0)
-             .withColumn("position", F.explode(F.expr(shaped)))
+             .withColumn("position", F.explode(shaped))
              .select("id", "path", "position", F.expr("_w[position]").alias("word"),
                      F.expr("concat_ws(' ', slice(_w, greatest(position - 2, 1), least(position, 3)))").alias("before"),
                      F.coalesce(F.expr("get(_w, position + 1)"), F.lit("")).alias("after")))
-    return (found.withColumn("candidate", F.regexp_extract("word", CANDIDATE, 0))
-            .withColumn("label", F.expr("substring_index(word, candidate, 1)"))
-            .drop("word"))
+    return (found.select("id", "path", "position", "before", "after",
+                         F.posexplode(_met("word", CANDIDATE)).alias("part", "c"))
+            .select("id", "path", "position", "part", "c.candidate", "before", "c.label", "after"))
 
 
 def _share(pattern: str) -> Column:
@@ -96,10 +105,10 @@ def weak_labels() -> Column:
 
 def scan(df: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
          path_col: str = "source", threshold: float = 0.5) -> DataFrame:
-    """One row per candidate: id, position, candidate, before, label, score, is_secret.
+    """One row per candidate: id, position, part, candidate, before, label, score, is_secret.
 
-    ``findings`` (id_col, position, is_secret) are labelled findings; without them
-    ``weak_labels`` label what they can. The forest is trained on at most SAMPLE findings
+    ``findings`` (id_col, position, is_secret, and part, else the word's first candidate is
+    meant) are labelled findings; without them ``weak_labels`` label what they can. The forest is trained on at most SAMPLE findings
     a class, picked by a hash; findings whose label is null or contradictory are left out.
     Where a class has no finding, every score is the mean label (0.5 without labels).
     Null texts have no candidate, a null path counts as none; repeated rows repeat their
@@ -112,13 +121,16 @@ def scan(df: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id
     if findings is None:
         known = found.where(F.col("weak").isNotNull()).withColumn("y", F.col("weak").cast("double"))
     else:
-        told = (findings.groupBy(F.col(id_col).alias("f_id"), F.col("position").alias("f_position"))
+        part = F.col("part") if "part" in findings.columns else F.lit(0)
+        told = (findings.groupBy(F.col(id_col).alias("f_id"), F.col("position").alias("f_position"),
+                                 part.alias("f_part"))
                 .agg(F.min(F.col("is_secret").cast("double")).alias("y"),
                      F.max(F.col("is_secret").cast("double")).alias("y1")).where("y = y1").drop("y1"))
         known = found.join(written(told, "findings"), (F.col("id") == F.col("f_id"))
-                           & (F.col("position") == F.col("f_position"))).drop("f_id", "f_position")
+                           & (F.col("position") == F.col("f_position"))
+                           & (F.col("part") == F.col("f_part"))).drop("f_id", "f_position", "f_part")
     pick = F.xxhash64("id", "position", "candidate")
-    train = [known.where(F.col("y") == c).orderBy(pick, "id", "position").limit(SAMPLE) for c in (0.0, 1.0)]
+    train = [known.where(F.col("y") == c).orderBy(pick, "id", "position", "part").limit(SAMPLE) for c in (0.0, 1.0)]
     train = written(train[0].unionByName(train[1]).coalesce(1), "training")
     classes = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(classes) < 2:
@@ -129,5 +141,5 @@ def scan(df: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id
                                         seed=SEED).fit(whole.transform(train))
         scored = (forest.transform(whole.transform(found))
                   .withColumn("score", F.element_at(vector_to_array("probability"), 2)))
-    return scored.select(F.col("id").alias(id_col), "position", "candidate", "before", "label", "score",
+    return scored.select(F.col("id").alias(id_col), "position", "part", "candidate", "before", "label", "score",
                          (F.col("score") >= threshold).alias("is_secret"))
