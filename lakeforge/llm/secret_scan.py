@@ -1,6 +1,7 @@
 """Secret scan: candidates by shape, false positives removed by a random forest.
 
-Every word of a text that is long and dense enough is a candidate. Features describe its
+Every run of key characters that is long and dense enough, every dotted token and every
+value assigned to a key word is a candidate, whatever the value's length. Features describe its
 length, the transitions between its characters, how much of it a dictionary of common
 word parts covers, the path it was found on and the words beside it. A random forest
 trained on labelled findings gives each candidate the probability of being a secret.
@@ -30,6 +31,16 @@ PARTS = ("tion ing ment the and ent ion her ter ver ere ate ons der die ein sch
          "test example sample dummy").split()
 KEY_WORDS = r"(?i)(pass(word|wd)?|pwd|secret|token|api_?key|access_?key|private_?key|credential|auth|bearer)"
 DULL_WORDS = r"(?i)(example|sample|sha\d*|md5|checksum|commit|uuid|isbn|order|invoice|phone|license)"
+#: Parts with dots between them, as in web tokens, as one candidate.
+DOTTED = (r"(?<![\w.\-])(?=[\w.\-]*?(?:[0-9]|[a-z][A-Z]))(?=[\w\-]+\.[\w\-])"
+          rf"[\w\-][\w.\-]{{{MIN_LENGTH - 2},}}[\w\-]={{0,2}}")
+#: A key word's name and the sign of assignment behind it, each with its quotes.
+_NAME = rf"(?:{KEY_WORDS})[\w\-]{{0,40}}[\\\"'`]{{0,2}}"
+_SIGN = r"(?:=>|:=|==|=|:)[\\\"'`]{0,2}"
+#: What is assigned to a key word, of 6 characters or more: up to a quote, a blank or the next NAME=.
+_NO_NEXT = r"(?![,;&][\w\-]{1,60}[=:])"
+VALUE = (rf"(?<=[=:>\\\"'`])(?<={_NAME}{_SIGN})(?![=:>\\\"'`])(?:{_NO_NEXT}[^\"'`]){{5,}}{_NO_NEXT}"
+         rf"(?:[^\"'`\\](?=\\?[\"'`])|[^\"'`\\,;])")
 TEST_PATH = r"(?i)(test|spec|example|sample|fixture|mock|doc)"
 
 
@@ -47,17 +58,36 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     the word; ``before`` are up to three words in front of it and ``after`` the next one;
     ``label`` is what the word itself holds in front of the candidate, from the one before
     it on, as in ``password=...``.
+
+    Candidates of a word are its runs of key characters, then its dotted tokens, then the
+    values of assignments to a key word, which may stand in the words before it; a value
+    that is a run or a dotted token is one candidate.
     """
     words = F.filter(F.split(F.coalesce(text_col, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    shaped = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: F.get("_w", i).rlike(CANDIDATE))
+    shaped = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (
+        F.get("_w", i).rlike(f"{CANDIDATE}|{DOTTED}|[=:]")
+        | F.coalesce(F.get("_w", i - 1).rlike(rf"{_SIGN}$"), F.lit(False))))
     found = (df.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"), words.alias("_w"))
              .where(F.size("_w") > 0)
              .withColumn("position", F.explode(shaped))
              .select("id", "path", "position", F.expr("_w[position]").alias("word"),
                      F.expr("concat_ws(' ', slice(_w, greatest(position - 2, 1), least(position, 3)))").alias("before"),
-                     F.coalesce(F.expr("get(_w, position + 1)"), F.lit("")).alias("after")))
-    return (found.select("id", "path", "position", "before", "after",
-                         F.posexplode(_met("word", CANDIDATE)).alias("part", "c"))
+                     F.coalesce(F.expr("get(_w, position + 1)"), F.lit("")).alias("after"),
+                     F.coalesce(F.expr("get(_w, position - 1)"), F.lit("")).alias("prev"),
+                     F.coalesce(F.expr("get(_w, position - 2)"), F.lit("")).alias("prev2")))
+    # the assignment that the words before end with belongs to the value
+    ahead = F.when(F.col("prev").rlike(rf"^{_SIGN}$"), F.concat("prev2", "prev")).otherwise(F.col("prev"))
+    ahead = (F.when(F.col("word").rlike("^[=:]"), F.regexp_extract("prev", rf"{_NAME}$", 0))
+             .otherwise(F.regexp_extract(ahead, rf"{_NAME}{_SIGN}$", 0)))
+    found = found.withColumn("ahead", ahead).withColumn("led", F.concat("ahead", "word"))
+    values = F.transform(_met("led", VALUE), lambda x, i: F.struct(
+        F.when(i == 0, F.expr("length(ahead)")).otherwise(0).alias("skip"), x["label"].alias("label"),
+        x["candidate"].alias("candidate")))
+    values = F.transform(F.filter(values, lambda x: ~x["candidate"].rlike(f"^(?:{CANDIDATE}|{DOTTED})$")),
+                         lambda x: F.struct(x["label"].substr(x["skip"] + 1, F.length(x["label"])).alias("label"),
+                                            x["candidate"].alias("candidate")))
+    parts = F.concat(_met("word", CANDIDATE), _met("word", DOTTED), values)
+    return (found.select("id", "path", "position", "before", "after", F.posexplode(parts).alias("part", "c"))
             .select("id", "path", "position", "part", "c.candidate", "before", "c.label", "after"))
 
 
@@ -93,13 +123,15 @@ def features() -> dict[str, Column]:
 def weak_labels() -> Column:
     """1 or 0 where a rule of high precision tells, else null: for corpora without labelled findings.
 
-    Secrets: known key formats, and what is assigned to a word that means a key. Not
+    Secrets: known key formats, and what is assigned to a word that means a key, unless it
+    has neither a digit nor a capital behind a small letter. Not
     secrets: numbers, runs of word parts, and what stands beside words such as checksum.
     """
     f = features()
-    number = F.col("candidate").rlike("^[0-9+_/=-]+$")
+    number = F.col("candidate").rlike("^[0-9+_/.=-]+$")
+    mixed = F.col("candidate").rlike("[0-9]|[a-z][A-Z]")
     return (F.when(F.col("candidate").rlike("^(AKIA|ASIA)[0-9A-Z]{16}$"), 1)
-            .when((f["key_word"] > 0) & (f["assigned"] > 0) & ~number, 1)
+            .when((f["key_word"] > 0) & (f["assigned"] > 0) & ~number & mixed, 1)
             .when(number | (f["covered"] >= 0.6) | (f["dull_word"] > 0), 0))
 
 

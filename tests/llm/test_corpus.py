@@ -451,3 +451,25 @@ def test_secret_candidates_are_all_of_a_word(spark):
                                  "doc_id long, position int, part int, is_secret boolean")
     scored = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"), told).collect()
     assert len(scored) == 6 and {r.part for r in scored} == {0, 1}
+
+
+def test_secret_candidates_are_values_and_dotted_tokens(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.SflKxwRJSMeKKF2QT4fwpM"
+    texts = [("password=Tr0ub4dor", ["Tr0ub4dor"]), ('"password": "Tr0ub4dor",', ["Tr0ub4dor"]),
+             ("the password = Tr0ub4dor is", ["Tr0ub4dor"]), ("pwd :Tr0ub4dor, and", ["Tr0ub4dor"]),
+             ('{"user":"bob","password":"a!b$c.d@e;f"}', ["a!b$c.d@e;f"]),
+             ("secret: correct-horse$battery.staple!and@more", ["correct-horse$battery.staple!and@more"]),
+             ("DB_PASSWORD=Tr0ub4d;API_TOKEN=xyz1234&user=bob", ["Tr0ub4d", "xyz1234"]),
+             (f"Bearer {jwt}.", [*jwt.split("."), jwt]), (f"token={jwt}", [*jwt.split("."), jwt]),
+             ("token=" + "$a" * 100_000, ["$a" * 100_000]), ("password=abc and Tr0ub4dor", []), ("a: b=c https://x.y", []),
+             ("." * 200_000 + "a." * 100_000, [])]
+    rows = [(i, t, "src/app") for i, (t, _) in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = defaultdict(list)
+    for r in sorted(secret_scan.candidates(df).collect(), key=lambda r: (r.id, r.position, r.part)):
+        found[r.id].append(r.candidate)
+        assert r.label == "" or texts[r.id][0].find(r.label + r.candidate) >= 0
+    assert {i: found[i] for i in range(len(texts))} == {i: want for i, (_, want) in enumerate(texts)}
+    more = [(100 + i, f"the {i + 10**15} of it", "src/app") for i in range(20)]
+    scored = secret_scan.scan(spark.createDataFrame(rows + more, df.schema)).collect()
+    assert all(r.is_secret for r in scored if r.doc_id < 4) and not any(r.is_secret for r in scored if r.doc_id >= 100)
