@@ -23,8 +23,13 @@ NEAR_PERCENT = 80
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier, fitted on their labels, doesn't reject."""
+    """Documents that the compression classifier, fitted on their labels, doesn't reject.
+
+    Where the labels make no classifier (none usable, or of one class only), all stay.
+    """
     model = compression_quality.fit(docs, read_table(spark, sf_dir, "labels"), held_out())
+    if model.constant is not None:
+        return docs
     scored = compression_quality.classify(docs, model, threshold=QUALITY_THRESHOLD)
     return scored.where("predicted = 1").select(*docs.columns)
 

@@ -473,3 +473,13 @@ def test_secret_candidates_are_values_and_dotted_tokens(spark):
     more = [(100 + i, f"the {i + 10**15} of it", "src/app") for i in range(20)]
     scored = secret_scan.scan(spark.createDataFrame(rows + more, df.schema)).collect()
     assert all(r.is_secret for r in scored if r.doc_id < 4) and not any(r.is_secret for r in scored if r.doc_id >= 100)
+
+
+def test_pipeline_keeps_all_documents_without_a_classifier(spark, hard, tmp_path):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    labels.where("false").write.parquet(f"{tmp_path}/none/labels.parquet")
+    labels.withColumn("quality", F.lit(0).cast(labels.schema["quality"].dataType)).write.parquet(
+        f"{tmp_path}/bad/labels.parquet")
+    for folder in ("none", "bad"):
+        out = corpus_pipeline.quality_classifier(spark, hard, f"{tmp_path}/{folder}")
+        assert Counter(map(tuple, out.collect())) == Counter(map(tuple, hard.collect()))
