@@ -483,3 +483,18 @@ def test_pipeline_keeps_all_documents_without_a_classifier(spark, hard, tmp_path
     for folder in ("none", "bad"):
         out = corpus_pipeline.quality_classifier(spark, hard, f"{tmp_path}/{folder}")
         assert Counter(map(tuple, out.collect())) == Counter(map(tuple, hard.collect()))
+
+
+def test_packing_knows_the_added_token():
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        assert [x["content"] for x in json.load(f)["added_tokens"]] == [packing.ADDED]
+    exact = Tokenizer.from_file(path)
+    assert packing.encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+    for text in ("<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "日本 <|endoftext|> é", "<|endoftext |> x", "plain"):
+        assert packing.encode(text) == exact.encode(text, add_special_tokens=False).ids
