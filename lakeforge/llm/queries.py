@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    block_max,
     compression_quality,
     exact_dedup,
     hyperminhash,
@@ -16,7 +17,9 @@ from . import (
     neighbours,
     packing,
     perspectives,
+    product_quantisation,
     secret_scan,
+    shallot,
     warc,
 )
 from .common import read_table
@@ -90,12 +93,62 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_quantisation.near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+def op12_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.cluster(read_table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2)
+
+
+def op13_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_max.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_exact_dedup, op3_learned_partitions, op4_line_dedup, op5_warc, op6_mix_sources,
-        op7_hyperminhash, op8_perspectives, op9_best_fit_packing, op10_compression_quality)
+        op7_hyperminhash, op8_perspectives, op9_best_fit_packing, op10_compression_quality,
+        op11_product_quantisation, op12_shallot, op13_block_max)
 }
 
+
+def _k_means_sql(k: int, rounds: int) -> str:
+    """Assignment and means of every round as common tables of their own."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} AS MATERIALIZED (
+            SELECT row, c, d FROM (
+                SELECT v.row, m.c, sum((v.x - m.x) * (v.x - m.x)) AS d FROM v JOIN m{r} AS m ON m.i = v.i
+                GROUP BY v.row, m.c)
+            QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+        s{r} AS (SELECT a.c, v.i, sum(v.x)::BIGINT AS s, count(*) AS n FROM v JOIN a{r} AS a ON a.row = v.row
+                 GROUP BY a.c, v.i),
+        m{r + 1} AS MATERIALIZED (
+            SELECT m.c, m.i, CASE WHEN s.n IS NULL THEN m.x ELSE (s.s - ((s.s % s.n) + s.n) % s.n) // s.n END AS x
+            FROM m{r} AS m LEFT JOIN s{r} AS s ON s.c = m.c AND s.i = m.i)""")
+    return f"""
+        WITH r AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, vec_id,
+                   list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS e
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e))) = 64),
+        v AS MATERIALIZED (SELECT row, unnest(range(64)) AS i, unnest(e) AS x FROM r),
+        b AS (SELECT row, row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR) NULLS LAST, e) - 1 AS c FROM r),
+        m0 AS MATERIALIZED (SELECT b.c, v.i, v.x FROM b JOIN v ON v.row = b.row WHERE b.c < {k}),
+        {",".join(steps)},
+        h AS (SELECT c, sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY i)) AS centroid_sha256
+              FROM m{rounds} GROUP BY c)
+        SELECT r.vec_id, a.c::INT AS cluster, a.d::BIGINT AS distance,
+               (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(a.d) OVER ())::BIGINT AS inertia,
+               h.centroid_sha256
+        FROM r JOIN a{rounds} AS a ON a.row = r.row JOIN h ON h.c = a.c
+    """
+
+
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -200,4 +253,55 @@ ORACLE: dict[str, str] = {
                    AS loss_spans
         FROM o GROUP BY conv_id, participant, win
     """,
+    "op11_product_quantisation": """
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS row, vec_id, label, embedding::DOUBLE[] AS e,
+                   coalesce(len(embedding) > 0 AND label IS NOT NULL
+                            AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+                            AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS fine
+            FROM embeddings),
+        l AS MATERIALIZED (
+            SELECT a.row AS u, b.row AS v
+            FROM d a JOIN d b ON a.label = b.label AND len(a.e) = len(b.e) AND a.row <> b.row
+            WHERE a.fine AND b.fine
+              AND list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.93),
+        reach AS (
+            SELECT row AS node, vec_id AS root FROM d
+            UNION
+            SELECT l.u, reach.root FROM reach JOIN l ON l.v = reach.node),
+        c AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node),
+        n AS (SELECT u, count(*) AS n FROM l GROUP BY u)
+        SELECT d.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, d.vec_id IS NOT DISTINCT FROM c.component_id AS kept
+        FROM d JOIN c ON c.node = d.row LEFT JOIN n ON n.u = d.row
+    """,
+    "op12_shallot": _k_means_sql(k=40, rounds=5),
+    "op13_block_max": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+            FROM documents),
+        q AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(min(text), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+            FROM benchmark GROUP BY item_id),
+        g AS (SELECT count(*) AS n, sum(len(t))::BIGINT AS l FROM d WHERE len(t) > 0),
+        p AS (
+            SELECT row, doc_id, n, term, count(*) AS tf
+            FROM (SELECT row, doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY row, doc_id, n, term),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * g.n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM p, g GROUP BY term, g.n),
+        a AS (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest(t) AS term FROM q) GROUP BY 1, 2),
+        s AS (
+            SELECT a.item_id, p.row, p.doc_id,
+                   sum(a.qtf * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * p.n * g.n) // g.l))))::BIGINT
+                       AS score
+            FROM a JOIN w USING (term) JOIN p USING (term), g GROUP BY a.item_id, p.row, p.doc_id)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank,
+               doc_id, score
+        FROM s WHERE score > 0
+        QUALIFY rank <= 10
+    """,
 }

@@ -41,7 +41,7 @@ def _canon(v):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     found, want = QUERIES[name](spark, SF).toArrow(), con.sql(ORACLE[name]).to_arrow_table()
     cols = sorted(found.column_names)
