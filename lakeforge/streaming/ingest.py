@@ -5,18 +5,14 @@ remembers which files it has processed (checkpoint), so every run picks up
 only new batches; ``Trigger.AvailableNow`` processes the backlog and stops,
 which fits a daily scheduler.
 
-T2 ``stream_silver``: each micro-batch of bronze rows is merged into the
-latest-by-key silver table with ``foreachBatch``. Keys are hashed into buckets, and a
-batch rewrites only the buckets it touches, into a folder of its own. A manifest (one
-row per bucket) names the folder that holds each bucket; it is replaced as the last
-step. Nothing depends on epoch ids: a replayed epoch, or one of a new checkpoint, merges
-its rows once more, which changes nothing.
+T2 ``stream_silver``: bronze rows -> the table's change log, again through the file sink,
+so every row is there once whatever is replayed or restarted. ``read_current`` is the
+newest row per key over it, and ``compact`` a plain batch job that writes this state into
+a folder of its own.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_by_key
 from ..schemas import RAW_SCHEMAS, SPECS, bronze_schema
-from ..session import delete_path, list_names, path_exists
-
-#: Buckets of a streamed silver table, fixed for its life.
-BUCKETS = 64
-MANIFEST = "bucket int, folder string"
+from ..session import path_exists
+from ..sinks.writers import write_full
 
 
 def stream_bronze(spark: SparkSession, raw_root: str, bronze_root: str, table: str,
@@ -50,67 +43,38 @@ def stream_bronze(spark: SparkSession, raw_root: str, bronze_root: str, table: s
             .start(f"{bronze_root.rstrip('/')}/{table}"))
 
 
-def _manifest(spark: SparkSession, root: str) -> tuple[int, dict[int, str]]:
-    """Number of the newest complete manifest (-1: none yet) and its folders by bucket."""
-    done = [int(n.removeprefix("seq=")) for n in list_names(spark, f"{root}/manifest")
-            if path_exists(spark, f"{root}/manifest/{n}/_SUCCESS")]
-    if not done:
-        return -1, {}
-    rows = spark.read.schema(MANIFEST).parquet(f"{root}/manifest/seq={max(done)}")
-    return max(done), {r["bucket"]: r["folder"] for r in rows.collect()}  # at most BUCKETS rows
-
-
-def _read_buckets(spark: SparkSession, root: str, table: str, held: dict[int, str]) -> DataFrame:
-    paths = [f"{root}/data/{folder}/bucket={b}" for b, folder in sorted(held.items())]
-    if not paths:
-        return spark.createDataFrame([], bronze_schema(table))
-    return spark.read.schema(bronze_schema(table)).parquet(*paths)
-
+def stream_silver(spark: SparkSession, bronze_root: str, silver_root: str, table: str,
+                  checkpoint: str) -> StreamingQuery:
+    """Start the stream of bronze rows into the table's change log (AvailableNow trigger).
 
-def read_current(spark: SparkSession, silver_root: str, table: str) -> DataFrame | None:
-    """The streamed silver table as of its newest manifest (None before the first)."""
-    root = f"{silver_root.rstrip('/')}/{table}"
-    seq, held = _manifest(spark, root)
-    return None if seq < 0 else _read_buckets(spark, root, table, held)
+    One checkpoint belongs to one log: a log's folder also keeps which files are complete,
+    and readers follow that. Another checkpoint needs another ``silver_root``.
+    """
+    src = (spark.readStream.schema(bronze_schema(table))
+           .parquet(f"{bronze_root.rstrip('/')}/{table}"))
+    return (src.writeStream.format("parquet").partitionBy("batch_date")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(f"{silver_root.rstrip('/')}/{table}"))
 
 
-def merge_batch(spark: SparkSession, silver_root: str, table: str, batch: DataFrame,
-                epoch_id: int) -> None:
-    """Fold one micro-batch into the latest-by-key table.
+def read_current(spark: SparkSession, silver_root: str, table: str, base: str | None = None) -> DataFrame | None:
+    """The newest row per key of a streamed table (None before its first row).
 
-    Only the buckets that the batch touches are read, merged and written; the others stay
-    where they are. Folders that neither the new manifest nor the one before names are
-    removed, so that a reader of the previous manifest can finish.
+    With ``base`` (what ``compact`` wrote last) only the log's batches from the newest one
+    of the base on are read, which prunes the log by its partitions.
     """
+    path = f"{silver_root.rstrip('/')}/{table}"
+    if not path_exists(spark, path):
+        return None
     spec = SPECS[table]
-    root = f"{silver_root.rstrip('/')}/{table}"
-    seq, held = _manifest(spark, root)
-    bucket = F.pmod(F.xxhash64(spec.key), F.lit(BUCKETS)).cast("int")
-    rows = batch.select(*bronze_schema(table).fieldNames())
-    touched = [r[0] for r in rows.select(bucket.alias("b")).distinct().collect()]  # at most BUCKETS
-    if not touched:
-        return
-    old = _read_buckets(spark, root, table, {b: held[b] for b in touched if b in held})
-    merged = latest_by_key(old.unionByName(rows), spec.key, list(spec.order_by), list(spec.tie_breakers))
-    folder = f"{epoch_id}-{uuid.uuid4().hex}"
-    merged.withColumn("bucket", bucket).write.partitionBy("bucket").parquet(f"{root}/data/{folder}")
-    now = held | dict.fromkeys(touched, folder)
-    (spark.createDataFrame(sorted(now.items()), MANIFEST).coalesce(1)
-     .write.mode("overwrite").parquet(f"{root}/manifest/seq={seq + 1}"))
-    for name in set(list_names(spark, f"{root}/data")) - set(now.values()) - set(held.values()):
-        delete_path(spark, f"{root}/data/{name}")
-    for name in list_names(spark, f"{root}/manifest"):
-        if int(name.removeprefix("seq=")) < seq:
-            delete_path(spark, f"{root}/manifest/{name}")
+    rows = spark.read.schema(bronze_schema(table)).parquet(path)
+    if base is not None:
+        held = spark.read.schema(bronze_schema(table)).parquet(base)
+        rows = rows.where(F.col("batch_date") >= held.select(F.max("batch_date")).scalar()).unionByName(held)
+    return latest_by_key(rows, spec.key, list(spec.order_by), list(spec.tie_breakers))
 
 
-def stream_silver(spark: SparkSession, bronze_root: str, silver_root: str, table: str,
-                  checkpoint: str) -> StreamingQuery:
-    """Start the bronze->silver merge stream for one table (AvailableNow trigger)."""
-    src = (spark.readStream.schema(bronze_schema(table))
-           .parquet(f"{bronze_root.rstrip('/')}/{table}"))
-    return (src.writeStream
-            .foreachBatch(lambda df, eid: merge_batch(spark, silver_root, table, df, eid))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start())
+def compact(spark: SparkSession, silver_root: str, table: str, out: str, base: str | None = None) -> None:
+    """Write the current state of a streamed table to the new folder ``out``."""
+    write_full(read_current(spark, silver_root, table, base), out)

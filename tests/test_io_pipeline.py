@@ -137,7 +137,7 @@ def test_pipeline_two_batches(spark, tmpdir_run):
 
 
 def test_streaming_bronze_and_silver(spark, tmpdir_run):
-    from lakeforge.streaming.ingest import read_current, stream_bronze, stream_silver
+    from lakeforge.streaming.ingest import compact, read_current, stream_bronze, stream_silver
     raw, bronze, silver = (os.path.join(tmpdir_run, x) for x in ("raw", "bronze", "silver"))
     ck = os.path.join(tmpdir_run, "ck")
     cust = fixtures.adapter(spark, SF_SMALL, "customers")
@@ -153,32 +153,20 @@ def test_streaming_bronze_and_silver(spark, tmpdir_run):
     cur = read_current(spark, silver, "customers")
     assert cur.count() == cust.select("customer_id").distinct().count()
     assert cur.where("customer_id = 10").first().city.endswith("moved")
-    # a lost checkpoint replays everything under epoch ids from 0: nothing is lost or doubled
-    before = cur.count()
-    stream_silver(spark, bronze, silver, "customers", ck + "/fresh").awaitTermination()
-    again = read_current(spark, silver, "customers")
-    assert again.count() == before and again.where("customer_id = 10").first().city.endswith("moved")
-    assert len(os.listdir(f"{silver}/customers/manifest")) == 2
-
-
-def test_streamed_merge_touches_only_its_buckets(spark, tmpdir_run):
-    from lakeforge.streaming.ingest import merge_batch, read_current
-    cust = fixtures.adapter(spark, SF_SMALL, "customers").where("batch_date = date'2026-07-01'")
-    merge_batch(spark, tmpdir_run, "customers", cust, 0)
-    held = set(os.listdir(f"{tmpdir_run}/customers/data"))
-    one = cust.where("customer_id = 1").withColumn("city", F.lit("new")).withColumn(
-        "ingestion_timestamp", F.expr("ingestion_timestamp + interval 1 day"))
-    merge_batch(spark, tmpdir_run, "customers", one, 0)
-    fresh = set(os.listdir(f"{tmpdir_run}/customers/data")) - held
-    assert len(fresh) == 1
-    assert len([n for n in os.listdir(f"{tmpdir_run}/customers/data/{fresh.pop()}") if n.startswith("bucket")]) == 1
-    now = read_current(spark, tmpdir_run, "customers")
-    assert now.count() == cust.count() and now.where("customer_id = 1").first().city == "new"
-    # a damaged table must raise, not look empty
-    for name in os.listdir(f"{tmpdir_run}/customers/data"):
-        os.rename(f"{tmpdir_run}/customers/data/{name}", f"{tmpdir_run}/gone-{name}")
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        merge_batch(spark, tmpdir_run, "customers", one, 1)
+    # nothing new: another run adds nothing
+    stream_silver(spark, bronze, silver, "customers", ck + "/s").awaitTermination()
+    assert spark.read.parquet(f"{silver}/customers").count() == cust.count()
+    # compacted, then read from there and the log's later batches
+    base = os.path.join(tmpdir_run, "base1")
+    compact(spark, silver, "customers", base)
+    late = cust.where("customer_id = 1 and batch_date = date'2026-07-01'").withColumn("city", F.lit("late"))
+    land_csv(late.select(*RAW_SCHEMAS["customers"].fieldNames()), raw, "customers", "2026-07-03")
+    stream_bronze(spark, raw, bronze, "customers", ck + "/b").awaitTermination()
+    stream_silver(spark, bronze, silver, "customers", ck + "/s").awaitTermination()
+    now, whole = (read_current(spark, silver, "customers", b) for b in (base, None))
+    assert now.where("customer_id = 1").first().city == "late"
+    assert now.exceptAll(whole.select(*now.columns)).count() == 0 and now.count() == whole.count() == cur.count()
+    assert read_current(spark, silver, "stores") is None
 
 
 def test_landed_csv_is_read_by_name(spark, tmpdir_run):
