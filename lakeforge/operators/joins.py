@@ -1,13 +1,19 @@
-"""Join helpers: orphan detection."""
+"""Join helpers: null-safe key equality, orphan detection."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality of two lists of columns in which a null equals a null (still an equi-join)."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right, strict=True)])
+
+
 def orphans(child: DataFrame, fk: str | Sequence[str], parent: DataFrame,
             pk: str | Sequence[str] | None = None) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent row (``left_anti``).

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RN = "__lf_rn"
+LOAD_FROM, LOAD_TO = "__load_from", "__load_to"
 
 
 def _ordering(order_by: Sequence[str | Column], ascending: bool) -> list[Column]:
@@ -34,6 +35,44 @@ def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[s
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 
+def latest_by_load(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str | Column],
+                   tie_breakers: Sequence[str | Column], batch_col: str, loads: Sequence[str]) -> DataFrame:
+    """The newest row per key as of every load date, in one pass whatever their number.
+
+    The result of ``latest_by_key`` over the batches up to a load is the rows whose
+    ``LOAD_FROM`` .. ``LOAD_TO`` (both inclusive, dates of ``loads``) hold that load
+    (``at_loads`` spreads them out). A row enters at the first load on or after its batch;
+    of the rows of a key that enter together only the newest counts (limited map-side, so
+    a hot key is at most one row per task and load), and it replaces the one before only
+    if it isn't older than everything that entered earlier. A batch after the last load,
+    or without a date, is in none.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    dates = load_dates(loads)
+    order = list(order_by) + list(tie_breakers)
+    entered = df.withColumn(LOAD_FROM, F.array_min(F.filter(dates, lambda d: d >= F.col(batch_col))))
+    newest = latest_by_key(entered.where(F.col(LOAD_FROM).isNotNull()), [*keys, LOAD_FROM], order_by, tie_breakers)
+    rank = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
+    by_load = Window.partitionBy(*keys).orderBy(LOAD_FROM)
+    before = F.max(rank).over(by_load.rowsBetween(Window.unboundedPreceding, -1))
+    ahead = newest.withColumn("__before", before).where(F.col("__before").isNull() | (rank >= F.col("__before")))
+    until = F.lead(LOAD_FROM).over(by_load)
+    return (ahead.withColumn("__until", until)
+            .withColumn(LOAD_TO, F.array_max(F.filter(
+                dates, lambda d: F.col("__until").isNull() | (d < F.col("__until")))))
+            .drop("__before", "__until"))
+
+
+def load_dates(loads: Sequence[str]) -> Column:
+    return F.array(*[F.lit(d).cast("date") for d in loads])
+
+
+def at_loads(versions: DataFrame, loads: Sequence[str], name: str = "load_date") -> DataFrame:
+    """A row for each load that holds a version of ``latest_by_load``, with the load's date."""
+    held = F.filter(load_dates(loads), lambda d: d.between(F.col(LOAD_FROM), F.col(LOAD_TO)))
+    return versions.withColumn(name, F.explode(held)).drop(LOAD_FROM, LOAD_TO)
+
+
 def apply_scd1(base: DataFrame, changes: DataFrame, keys: str | Sequence[str],
                updated_at: str, tie_breakers: Sequence[str | Column] = ()) -> DataFrame:
     """SCD type 1: overwrite attributes in place by key, newest ``updated_at`` wins.

@@ -1,8 +1,7 @@
 """Declarative expectations and row-rule audits.
 
 Each expectation compiles to a DataFrame of failing rows; ``run_expectations``
-turns a list of them into one result row per test (failures, passed) in a
-single Spark job. Nothing is collected except the final per-test counts.
+counts them for a whole list of tests in one grouped pass (one row per test).
 """
 
 from __future__ import annotations
@@ -78,48 +77,55 @@ CORE_EXPECTATIONS = [
 # --- end of fixed values -------------------------------------------------------
 
 
-def run_expectations(ref, expectations: Sequence[Expectation],
-                     scratch: str | None = None) -> DataFrame:
+def run_expectations(ref, expectations: Sequence[Expectation]) -> DataFrame:
     """One row per test: test_name, kind, model, column_name, failures, passed.
 
-    Failing rows are counted, never collected; unique tests count duplicated
-    keys, the others count failing rows.
-
-    With ``scratch`` (a folder in the cluster's shared checkpoint location),
-    every model used by more than one test is computed once and written there,
-    narrowed to the tested columns; the tests then read those files. Without
-    it each test re-plans its model (branches with different projections do
-    not share shuffles).
+    All tests are one grouped pass. Every tested column belongs to a domain: the column
+    itself, or for a foreign key the column it refers to. A model is read once and hands on,
+    for each of its tested columns, the key under the domain's name, counted as a row of the
+    domain's own column or of a column that refers to it. Grouped by domain and key (counts
+    are combined map-side, so a hot key is a row per task), a group tells whether the key is
+    null, doubled or without its parent. Unique tests count doubled keys, the others failing
+    rows. Nothing runs before the action.
     """
-    if scratch:
-        needed: dict[str, set[str]] = {}
-        uses: dict[str, int] = {}
-        for e in expectations:
-            needed.setdefault(e.model, set()).add(e.column)
-            uses[e.model] = uses.get(e.model, 0) + 1
-            if e.kind == "relationships":
-                needed.setdefault(e.to, set()).add(e.field)
-                uses[e.to] = uses.get(e.to, 0) + 1
-        written: dict[str, DataFrame] = {}
-        for m, cols in needed.items():
-            if uses[m] < 2:
-                continue
-            path = f"{scratch.rstrip('/')}/{m}"
-            ref(m).select(*sorted(cols)).write.mode("overwrite").parquet(path)
-            written[m] = ref(m).sparkSession.read.parquet(path)
-        base_ref = ref
-
-        def ref(m):  # noqa: F811 - written copies first
-            return written[m] if m in written else base_ref(m)
-
-    parts = []
+    domains: dict[tuple[str, str], int] = {}
+    roles: dict[tuple[str, str], list[tuple[int, str]]] = {}
     for e in expectations:
-        cnt = e.failures(ref).agg(F.count(F.lit(1)).alias("failures"))
-        parts.append(cnt.select(F.lit(e.name).alias("test_name"), F.lit(e.kind).alias("kind"),
-                                F.lit(e.model).alias("model"), F.lit(e.column).alias("column_name"),
-                                "failures"))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("passed", F.col("failures") == 0)
+        home = (e.to, e.field) if e.kind == "relationships" else (e.model, e.column)
+        domain = domains.setdefault(home, len(domains))
+        roles.setdefault(home, [])
+        if (domain, "") not in roles[home]:
+            roles[home].append((domain, ""))
+        if e.kind == "relationships" and (domain, e.name) not in roles.setdefault((e.model, e.column), []):
+            roles[e.model, e.column].append((domain, e.name))
+    children = sorted({name for held in roles.values() for _, name in held if name})
+    passes = []
+    for m in sorted({m for m, _ in roles}):
+        df = ref(m)
+        keys = [F.struct(F.lit(domain).alias("domain"), F.col(column).cast("string").alias("key"),
+                         F.lit(name).alias("child"))
+                for (of, column), held in sorted(roles.items()) if of == m for domain, name in held]
+        passes.append(df.select(F.explode(F.array(*keys)).alias("k")).select("k.*"))
+    counts = (reduce(DataFrame.unionByName, passes).groupBy("domain", "key").agg(
+        F.count(F.when(F.col("child") == "", 1)).alias("parents"),
+        *[F.count(F.when(F.col("child") == c, 1)).alias(f"child{i}") for i, c in enumerate(children)]))
+    failures, present = [], F.col("key").isNotNull()
+    for i, e in enumerate(expectations):
+        home = (e.to, e.field) if e.kind == "relationships" else (e.model, e.column)
+        mine = F.col("domain") == domains[home]
+        if e.kind == "unique":
+            found = F.count(F.when(mine & present & (F.col("parents") > 1), 1))
+        elif e.kind == "not_null":
+            found = F.sum(F.when(mine & ~present, F.col("parents")))
+        elif e.kind == "relationships":
+            found = F.sum(F.when(mine & present & (F.col("parents") == 0), F.col(f"child{children.index(e.name)}")))
+        else:
+            raise ValueError(e.kind)
+        failures.append(F.coalesce(found, F.lit(0)).cast("bigint").alias(f"f{i}"))
+    rows = [F.struct(F.lit(e.name).alias("test_name"), F.lit(e.kind).alias("kind"), F.lit(e.model).alias("model"),
+                     F.lit(e.column).alias("column_name"), F.col(f"f{i}").alias("failures"),
+                     (F.col(f"f{i}") == 0).alias("passed")) for i, e in enumerate(expectations)]
+    return counts.agg(*failures).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_SCHEMAS
-from ..sinks.writers import write_bronze
+from ..sinks.writers import replace_partition
 from ..sources.files import read_raw_csv
 
 SOURCE_SYSTEM = "postgres"
@@ -43,6 +43,6 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, table: str,
     raw = read_raw_csv(spark, raw_root, table, batch_date, RAW_SCHEMAS[table])
     df = with_lineage(raw, batch_date, ingestion_ts=ingestion_ts)
     obs = Observation(f"bronze_{table}")
-    write_bronze(df.observe(obs, F.count(F.lit(1)).alias("rows")), bronze_root, table)
+    replace_partition(df.observe(obs, F.count(F.lit(1)).alias("rows")), f"{bronze_root.rstrip('/')}/{table}", batch_date)
     return spark.createDataFrame([(table, batch_date, obs.get["rows"])],
                                  "table_name string, batch_date string, rows bigint")

@@ -14,7 +14,7 @@ from .registry import Context, model
 @model("dim_customer", "core")
 def dim_customer(ctx: Context) -> DataFrame:
     """Newest version of each customer by ``updated_at``; natural id is the key."""
-    latest = latest_by_key(ctx.ref("stg_customers"), "customer_id", ["updated_at"],
+    latest = latest_by_key(ctx.ref("versions_customers"), "customer_id", ["updated_at"],
                            ["ingestion_timestamp", "load_date"])
     return latest.select(
         F.col("customer_id").alias("customer_key"), "customer_id", "first_name", "last_name",
@@ -24,7 +24,7 @@ def dim_customer(ctx: Context) -> DataFrame:
 
 @model("dim_product", "core")
 def dim_product(ctx: Context) -> DataFrame:
-    latest = latest_by_key(ctx.ref("stg_products"), "product_id", ["updated_at"],
+    latest = latest_by_key(ctx.ref("versions_products"), "product_id", ["updated_at"],
                            ["ingestion_timestamp", "load_date"])
     return latest.select(
         F.col("product_id").alias("product_key"), "product_id", "product_name", "category",
@@ -34,7 +34,7 @@ def dim_product(ctx: Context) -> DataFrame:
 
 @model("dim_store", "core")
 def dim_store(ctx: Context) -> DataFrame:
-    latest = latest_by_key(ctx.ref("stg_stores"), "store_id", ["created_at"],
+    latest = latest_by_key(ctx.ref("versions_stores"), "store_id", ["created_at"],
                            ["ingestion_timestamp", "load_date"])
     return latest.select(
         F.col("store_id").alias("store_key"), "store_id", "store_name", "store_type",
@@ -45,10 +45,10 @@ def dim_store(ctx: Context) -> DataFrame:
 def dim_date(ctx: Context) -> DataFrame:
     """One row per day that has an order (sparse calendar).
 
-    Distinct is taken on the date first (a partial aggregate before the
+    The days need no exchange rates, and of an order's versions each once. Distinct is taken on the date first (a partial aggregate before the
     shuffle), then the calendar attributes are derived from the few survivors.
     """
-    days = ctx.ref("stg_orders").select(F.col("order_date").cast("date").alias("__d")).distinct()
+    days = ctx.ref("versions_order_heads").select(F.col("order_date").cast("date").alias("__d")).distinct()
     return days.select(*calendar_columns("__d"))
 
 
@@ -60,18 +60,18 @@ def latest_load(staging: DataFrame, key: str, tie_breakers: tuple[str, ...] = ()
 
 @model("latest_orders", "core")
 def latest_orders(ctx: Context) -> DataFrame:
-    return latest_load(ctx.ref("stg_orders"), "order_id")
+    return latest_load(ctx.ref("versions_orders"), "order_id")
 
 
 @model("latest_order_heads", "core")
 def latest_order_heads(ctx: Context) -> DataFrame:
     """``latest_orders`` without the exchange rate, for what needs no FX join."""
-    return latest_load(ctx.ref("stg_order_heads"), "order_id")
+    return latest_load(ctx.ref("versions_order_heads"), "order_id")
 
 
 @model("latest_order_items", "core")
 def latest_order_items(ctx: Context) -> DataFrame:
-    return latest_load(ctx.ref("stg_order_items"), "order_item_id", ("product_id",))
+    return latest_load(ctx.ref("versions_order_items"), "order_item_id", ("product_id",))
 
 
 @model("fact_sales", "core")
@@ -82,7 +82,8 @@ def fact_sales(ctx: Context) -> DataFrame:
     side), items meet the product dimension, then the two meet on order_id.
     Dimensions contribute only their keys, so column pruning leaves them
     narrow; AQE turns their joins into broadcasts when runtime sizes allow and
-    splits a hot customer/product key otherwise.
+    splits a hot customer/product key otherwise. Where items and orders are tables
+    bucketed by order (``plans.tables``), those two meet first, without a shuffle.
     """
     o = (ctx.ref("latest_order_heads")
          .select("order_id", "customer_id", "store_id", "order_date", "order_status",
@@ -90,14 +91,20 @@ def fact_sales(ctx: Context) -> DataFrame:
     c = ctx.ref("dim_customer").select("customer_key")
     s = ctx.ref("dim_store").select("store_key")
     p = ctx.ref("dim_product").select("product_key")
-    o = (o.join(c, o.customer_id == c.customer_key)
-          .join(s, o.store_id == s.store_key)
-          .drop("customer_id", "store_id"))
     i = ctx.ref("latest_order_items").select(
         "order_item_id", "order_id", "product_id", "quantity", "unit_price_at_sale",
         "unit_cost_at_sale", "discount_amount", "line_total", "batch_date")
-    i = i.join(p, i.product_id == p.product_key).drop("product_id")
-    f = i.join(o, "order_id")
+
+    def with_products(df: DataFrame) -> DataFrame:
+        return df.join(p, df.product_id == p.product_key)
+
+    def with_order_dimensions(df: DataFrame) -> DataFrame:
+        return df.join(c, df.customer_id == c.customer_key).join(s, df.store_id == s.store_key)
+
+    if ctx.opt("bucketed"):
+        f = with_products(with_order_dimensions(i.join(o, "order_id")))
+    else:
+        f = with_products(i).join(with_order_dimensions(o), "order_id")
     return f.select(
         "order_item_id", "order_id", "customer_key", "product_key", "store_key",
         F.col("order_date").cast("date").alias("date_key"),

@@ -74,6 +74,15 @@ class Context:
                                                            if k != "loads"})
         return self._cache[key]
 
+    def over_loads(self, loads: tuple[str, ...]) -> Context:
+        """This context with silver of all ``loads`` at once: each version of a key with the
+        loads that hold it (memoised). Silver's rules look at one row, so they apply alike."""
+        key = f"__over__{','.join(loads)}"
+        if key not in self._cache:
+            options = {k: v for k, v in self.options.items() if k != "loads"}
+            self._cache[key] = Context(self.spark, self.source, options | {"over_loads": tuple(loads)})
+        return self._cache[key]
+
 
 def fixture_context(spark: SparkSession, sf_dir: str, **options) -> Context:
     """Context whose bronze tables are the fixture adapters over ``sf_dir``, loaded into

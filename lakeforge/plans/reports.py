@@ -7,11 +7,12 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cleanse as C
 from ..functions.money import avg_money, money, sum_money
+from ..operators.diff import diff_counts
 from ..operators.enrich import convert_to_base, enrich_fx
 from ..operators.joins import orphans
 from ..operators.latest import apply_scd1
@@ -19,15 +20,16 @@ from ..operators.profile import bucketize, concentration
 from ..operators.quality import (CORE_EXPECTATIONS, check_batch, duplicate_keys, null_counts,
                                  rule_audit, run_expectations)
 from ..schemas import RAW_REQUIRED_ORDER_COLUMNS, RAW_SCHEMAS, SPECS
+from ..session import scratch_path
 from ..sinks.writers import append_by_name
 from ..sources import fx as FXS
-from ..sources.extract import read_incremental
+from ..sources.extract import read_incremental, read_with_lookback
 from ..sources.files import latest_batch
-from ..session import scratch_path
 from ..sources.watermark import advance_watermark, get_watermark
 from .bronze import with_lineage
 from .catalog import entry
 from .registry import Context, model
+from .tables import with_fact_tables
 
 # Report parameters.
 CONCENTRATION_SEGMENTS = [("top_1pct", 1, True), ("top_5pct", 5, True), ("bottom_50pct", 50, False)]
@@ -35,6 +37,8 @@ CONCENTRATION_SEGMENTS = [("top_1pct", 1, True), ("top_5pct", 5, True), ("bottom
 CUSTOMER_SEGMENTS = [("dormant", 0), ("light", 2), ("regular", 7), ("frequent", 19), ("vip", None)]
 ORDERS_PIPELINE = "orders_pipeline"
 WATERMARK_LAG_DAYS = 90
+LOOKBACK = "180 DAYS"
+LATE_ORDER_MOD = 97
 STATE_UPDATED_AT = "2026-07-01 00:00:00"
 ADVANCED_AT = "2026-07-02 00:00:00"
 LINEAGE_BATCH = "2026-07-02"
@@ -73,9 +77,8 @@ def not_null_core(ctx: Context) -> DataFrame:
 
 @entry("expectation_report")
 def expectation_report(ctx: Context) -> DataFrame:
-    """The 13 column tests; shared models are written once to the checkpoint folder."""
-    scratch = scratch_path(ctx.spark, f"expectations-{uuid.uuid4().hex}")
-    return run_expectations(ctx.ref, CORE_EXPECTATIONS, scratch=scratch)
+    """The 13 column tests of the core models."""
+    return run_expectations(ctx.ref, CORE_EXPECTATIONS)
 
 
 @entry("raw_checks")
@@ -160,21 +163,29 @@ def fact_dropped_rows(ctx: Context) -> DataFrame:
 
 
 # ---------------------------------------------------------------- layer metrics
+def _bronze_and_silver(ctx: Context, table: str, kept: Column | None = None) -> DataFrame:
+    """bronze and silver rows of a table in one pass over bronze: rows per key with a map-side
+    combine, and of each key whether its newest row is ``kept`` (all are without it)."""
+    spec = SPECS[table]
+    way = F.lit("silver") if kept is None else F.max_by(kept, F.struct(*spec.order_by, *spec.tie_breakers))
+    keys = ctx.source(table).groupBy(spec.key).agg(F.count(F.lit(1)).alias("n"), way.alias("way"))
+    ways = ["silver", "reject", "unknown"] if table == "customers" else ["silver"]
+    sums = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("bronze"),
+                    *[F.count(F.when(F.col("way") == w, 1)).alias(w) for w in ways])
+    counts = F.create_map(*[x for c in ["bronze", *ways] for x in (F.lit(c), F.col(c))])
+    return sums.select(F.explode(counts).alias("layer", "row_count")).select(
+        "layer", F.lit(table).alias("table_name"), "row_count")
+
+
 @entry("layer_row_counts")
 def layer_row_counts(ctx: Context) -> DataFrame:
-    """Rows per layer. What does not change the number of rows (cleansing, the FX join) is
-    left out, and the three ways a customer can go are counted in one pass."""
-    parts = [_count(ctx.source(t), layer="bronze", table_name=t) for t in SPECS]
-    for t, m in [("orders", "orders_mandatory"), ("products", "dedupe_products"), ("stores", "dedupe_stores"),
-                 ("order_items", "dedupe_order_items"), ("payments", "dedupe_payments")]:
-        parts.append(_count(ctx.ref(m), layer="silver", table_name=t))
+    """Rows per layer, each table read once. What does not change the number of rows
+    (cleansing, the FX join) is left out."""
     valid = C.email_is_valid("email")
-    ways = {"silver": valid, "reject": ~valid, "unknown": valid.isNull()}
-    counts = ctx.ref("dedupe_customers").agg(*[F.count(F.when(c, 1)).alias(k) for k, c in ways.items()])
-    parts.append(counts.select(F.explode(F.create_map(
-        *[x for k in ways for x in (F.lit(k), F.col(k))])).alias("layer", "row_count"))
-        .select("layer", F.lit("customers").alias("table_name"), "row_count"))
-    return _union(parts)
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in SPECS["orders"].mandatory])
+    kept = {"customers": F.when(valid, "silver").when(~valid, "reject").otherwise("unknown"),
+            "orders": F.when(whole, "silver").otherwise("dropped")}
+    return _union([_bronze_and_silver(ctx, t, kept.get(t)) for t in SPECS])
 
 
 @entry("orders_reconciliation")
@@ -230,7 +241,7 @@ def scd1_customers(ctx: Context) -> DataFrame:
     src = ctx.source("customers")
     base = _first_batch(src).select(*RAW_SCHEMAS["customers"].fieldNames())
     changes = _later_batches(src).select("customer_id", "city", "updated_at")
-    return apply_scd1(base, changes, "customer_id", "updated_at")
+    return apply_scd1(base, changes, "customer_id", "updated_at", ["city"])
 
 
 @entry("scd1_products")
@@ -238,7 +249,34 @@ def scd1_products(ctx: Context) -> DataFrame:
     src = ctx.source("products")
     base = _first_batch(src).select(*RAW_SCHEMAS["products"].fieldNames())
     changes = _later_batches(src).select("product_id", "unit_cost", "updated_at")
-    return apply_scd1(base, changes, "product_id", "updated_at")
+    return apply_scd1(base, changes, "product_id", "updated_at", ["unit_cost"])
+
+
+PRICE_COLUMNS = {"dim_product": ("product_key", ["unit_cost", "unit_price", "updated_at"]),
+                 "fact_sales": ("order_item_id", ["unit_cost", "line_total", "profit"])}
+
+
+@entry("price_invariance")
+def price_invariance(ctx: Context) -> DataFrame:
+    """What an update of product costs in place changes: costs of the dimension, and no
+    measure of the fact, which keeps the cost of its day. One row per compared column."""
+    src = ctx.source("products")
+    base = _first_batch(src)
+    changes = _later_batches(src).select("product_id", "unit_cost", "updated_at", "ingestion_timestamp", "batch_date")
+    updated = apply_scd1(base, changes, "product_id", "updated_at", ["unit_cost"])
+
+    def over(products: DataFrame) -> Context:
+        return Context(ctx.spark, lambda t: products if t == "products" else ctx.source(t), ctx.options)
+    old, new = over(base), over(updated)
+    return _union([diff_counts(old.ref(m), new.ref(m), key, columns).select(F.lit(m).alias("table_name"), "*")
+                   for m, (key, columns) in PRICE_COLUMNS.items()])
+
+
+@entry("fact_sales_tables")
+def fact_sales_tables(ctx: Context) -> DataFrame:
+    """The sales fact over bucketed tables of the catalog."""
+    database = f"fact_{uuid.uuid4().hex}"
+    return with_fact_tables(ctx, database, root=scratch_path(ctx.spark, database)).ref("fact_sales")
 
 
 # ---------------------------------------------------------------- profiles
@@ -456,6 +494,23 @@ def wm_advance(ctx: Context) -> DataFrame:
                              ORDERS_PIPELINE, "order_date", updated_at=ADVANCED_AT)
 
 
+def _landed_before(ctx: Context) -> DataFrame:
+    """Orders as earlier runs have landed them: the first batch's rows up to the watermark,
+    without those that came too late for it."""
+    mark = ctx.ref("watermark_state").agg(F.max("last_watermark")).first()[0]
+    return _first_batch(ctx.source("orders")).where(
+        (F.col("order_date") <= F.lit(mark).cast("timestamp_ntz")) & (F.col("order_id") % LATE_ORDER_MOD != 5))
+
+
+@entry("src_late_rows")
+def src_late_rows(ctx: Context) -> DataFrame:
+    """The orders increment with a lookback: rows past the watermark, and of the days before
+    it those that earlier runs have missed or that have changed since."""
+    mark = get_watermark(ctx.ref("watermark_state"), ORDERS_PIPELINE)
+    return read_with_lookback(ctx.ref("source_orders"), "order_id", "order_date", mark, LOOKBACK,
+                              _landed_before(ctx), ["batch_date"])
+
+
 @entry("bronze_all_batches")
 def bronze_all_batches(ctx: Context) -> DataFrame:
     return _union([ctx.source(t).groupBy("batch_date").agg(F.count(F.lit(1)).alias("row_count"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from ..functions import cleanse as C
 from ..operators.enrich import enrich_fx
-from ..operators.latest import latest_by_key
+from ..operators.latest import latest_by_key, latest_by_load
 from ..operators.quarantine import drop_missing, split_valid
 from ..schemas import SPECS
 from ..sources.fx import fx_rates_typed
@@ -16,7 +16,12 @@ INVALID_EMAIL = "Invalid Email"
 
 
 def dedupe(ctx: Context, table: str) -> DataFrame:
+    """Newest row per key; over several loads, the newest as of each."""
     spec = SPECS[table]
+    loads = ctx.opt("over_loads")
+    if loads:
+        return latest_by_load(ctx.source(table), spec.key, list(spec.order_by), list(spec.tie_breakers),
+                              "batch_date", loads)
     return latest_by_key(ctx.source(table), spec.key, list(spec.order_by), list(spec.tie_breakers))
 
 

@@ -109,6 +109,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to ``target``, in place of what is there."""
+    src, fs = _file_system(spark, source)
+    dst, _ = _file_system(spark, target)
+    fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise RuntimeError(f"could not move {source} to {target}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)

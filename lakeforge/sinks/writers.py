@@ -18,24 +18,52 @@ def land_csv(df: DataFrame, root: str, table: str, batch_date: str,
     """
     path = f"{root.rstrip('/')}/{table}/batch_date={batch_date}"
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    # microseconds stay, so that a row read back from the landing equals the source's
+    (out.write.mode("overwrite").option("header", True)
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").csv(path))
     return path
 
 
+def sized(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` dealt out anew, by ``cols`` if given, so that each task writes about one file of
+    the advisory size: AQE joins small partitions and splits large ones (``REBALANCE``),
+    whatever the number of tasks before. It costs a shuffle of what is written."""
+    return df.hint("rebalance", *cols)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "batch_date") -> None:
-    """Idempotent per-batch write: dynamic partition overwrite replaces only the
-    batch directories present in ``df``; older batches stay."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Idempotent write of several partitions: dynamic partition overwrite replaces only the
+    directories present in ``df``; older ones stay. Where the partition is known and may come
+    out empty, use ``replace_partition``."""
+    (sized(df, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
+def replace_partition(df: DataFrame, path: str, value: str, partition_col: str = "batch_date") -> None:
+    """Write ``df`` as the one partition ``value``, in place of what was there: a rerun without
+    rows leaves it empty, not as it was."""
+    (sized(df.drop(partition_col)).write.mode("overwrite")
+     .parquet(f"{path.rstrip('/')}/{partition_col}={value}"))
+
+
 def write_bronze(df: DataFrame, root: str, table: str) -> None:
     write_partitioned(df, f"{root.rstrip('/')}/{table}")
 
 
 def write_full(df: DataFrame, path: str) -> None:
     """Full overwrite (silver tables, quarantine, marts)."""
-    df.write.mode("overwrite").parquet(path)
+    sized(df).write.mode("overwrite").parquet(path)
+
+
+def write_ordered(df: DataFrame, path: str, order: Sequence[str], files: int | None = None) -> None:
+    """Write ``df`` sorted across files: a range of ``order`` per file, sorted inside.
+
+    Readers that filter on the order column skip files and row groups by their footers, and
+    one that reads the files by name gets the rows in order. No task holds more than its range.
+    """
+    cols = [F.col(c) for c in order]
+    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
+    ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
 
 
 def align_by_name(df: DataFrame, target: T.StructType) -> DataFrame:
@@ -76,5 +104,5 @@ def write_observed(df: DataFrame, path: str, name: str, mode: str = "overwrite")
     from pyspark.sql import Observation
 
     obs = Observation(name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    sized(df.observe(obs, F.count(F.lit(1)).alias("rows"))).write.mode(mode).parquet(path)
     return int(obs.get["rows"])

@@ -21,7 +21,8 @@ def advance_watermark(state: DataFrame, batch: DataFrame, pipeline: str, ts_col:
     """New state table after publishing ``batch``.
 
     The pipeline's watermark becomes ``max(ts_col)`` of the batch, only when
-    the batch is non-empty (an empty batch keeps the old value); other
+    the batch is non-empty (an empty batch keeps the old value) and never goes back (a
+    batch of late rows, or a rerun, may hold older ones only); other
     pipelines are untouched. Call it after the batch is published, so a
     failed landing is re-read next time. ``max`` is a partial aggregate: one
     value per task crosses the shuffle.
@@ -34,7 +35,7 @@ def advance_watermark(state: DataFrame, batch: DataFrame, pipeline: str, ts_col:
     cand = newest.select(F.lit(pipeline).alias("pipeline_name"), "__new")
     merged = cand.join(mine, "pipeline_name", "full_outer").select(
         "pipeline_name",
-        F.coalesce(F.col("__new"), F.col("last_watermark")).alias("last_watermark"),
+        F.greatest("__new", "last_watermark").alias("last_watermark"),
         F.when(F.col("__new").isNotNull(), ts).otherwise(F.col("updated_at")).alias("updated_at"))
     others = state.where(F.col("pipeline_name") != F.lit(pipeline))
     return others.unionByName(merged)

@@ -333,3 +333,46 @@ SELECT order_id, customer_id, store_id, order_date, order_status, currency_code,
        cast(NULL AS double) AS exchange_rate, created_at, ingestion_timestamp, batch_date,
        source_system, source_file, cast(NULL AS date) AS load_date
 FROM silver_orders""")
+
+# ------------------------------------------------------------------ late rows, tables, price invariance
+ORACLE["src_late_rows"] = with_models("", extra=_WM) + """
+SELECT s.* FROM (
+  SELECT order_id, customer_id, store_id, order_date, order_status, currency_code, created_at FROM dedupe_orders) s
+WHERE s.order_date > (SELECT max(last_watermark) FROM wm_state)
+   OR (s.order_date > (SELECT max(last_watermark) - INTERVAL 180 DAY FROM wm_state)
+       AND NOT EXISTS (
+         SELECT 1 FROM b_orders b
+         WHERE b.batch_date = (SELECT min(batch_date) FROM b_orders) AND b.order_id % 97 <> 5
+           AND b.order_id = s.order_id AND b.order_date = s.order_date AND b.created_at = s.created_at
+           AND b.customer_id IS NOT DISTINCT FROM s.customer_id AND b.store_id IS NOT DISTINCT FROM s.store_id
+           AND b.order_status IS NOT DISTINCT FROM s.order_status
+           AND b.currency_code IS NOT DISTINCT FROM s.currency_code))"""
+_add("fact_sales_tables", "SELECT * FROM fact_sales")
+_FIRST = "(SELECT min(batch_date) FROM b_products)"
+_PRICES = f"""
+  p1 AS (SELECT * FROM b_products WHERE batch_date = {_FIRST}),
+  p2 AS (SELECT b.product_id, coalesce(c.unit_cost, b.unit_cost) AS unit_cost, b.unit_price,
+                coalesce(c.updated_at, b.updated_at) AS updated_at
+         FROM p1 b LEFT JOIN (SELECT * FROM b_products WHERE batch_date > {_FIRST}) c USING (product_id)),
+  f0 AS (SELECT f.* FROM latest_order_items f JOIN latest_orders o USING (order_id)
+         WHERE o.customer_id IN (SELECT customer_id FROM dim_customer)
+           AND o.store_id IN (SELECT store_id FROM dim_store)),
+  f1 AS (SELECT f0.*, line_total - quantity * unit_cost_at_sale AS profit FROM f0
+         WHERE product_id IN (SELECT product_id FROM p1)),
+  f2 AS (SELECT f0.*, line_total - quantity * unit_cost_at_sale AS profit FROM f0
+         WHERE product_id IN (SELECT product_id FROM p2))"""
+
+
+def _changed(table: str, old: str, new: str, key: str, columns: list[tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{name}' AS column_name, count(a.{key} + b.{key}) AS compared, "
+        f"count(*) FILTER (a.{key} IS NULL) AS added, count(*) FILTER (b.{key} IS NULL) AS removed, "
+        f"count(*) FILTER (a.{key} IS NOT NULL AND b.{key} IS NOT NULL AND a.{col} IS DISTINCT FROM b.{col}) AS changed "
+        f"FROM {old} a FULL JOIN {new} b ON a.{key} = b.{key}" for name, col in columns)
+
+
+ORACLE["price_invariance"] = with_models(
+    _changed("dim_product", "p1", "p2", "product_id", [(c, c) for c in ("unit_cost", "unit_price", "updated_at")])
+    + " UNION ALL "
+    + _changed("fact_sales", "f1", "f2", "order_item_id", [
+        ("unit_cost", "unit_cost_at_sale"), ("line_total", "line_total"), ("profit", "profit")]), extra=_PRICES)
