@@ -50,7 +50,7 @@ def latest_by_load(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[
     keys = [keys] if isinstance(keys, str) else list(keys)
     dates = load_dates(loads)
     order = list(order_by) + list(tie_breakers)
-    entered = df.withColumn(LOAD_FROM, F.array_min(F.filter(dates, lambda d: d >= F.col(batch_col))))
+    entered = df.withColumn(LOAD_FROM, _first_load(F.col(batch_col), loads))
     newest = latest_by_key(entered.where(F.col(LOAD_FROM).isNotNull()), [*keys, LOAD_FROM], order_by, tie_breakers)
     rank = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
     by_load = Window.partitionBy(*keys).orderBy(LOAD_FROM)
@@ -58,11 +58,23 @@ def latest_by_load(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[
     ahead = newest.withColumn("__before", before).where(F.col("__before").isNull() | (rank >= F.col("__before")))
     until = F.lead(LOAD_FROM).over(by_load)
     return (ahead.withColumn("__until", until)
-            .withColumn(LOAD_TO, F.array_max(F.filter(
-                dates, lambda d: F.col("__until").isNull() | (d < F.col("__until")))))
+            .withColumn(LOAD_TO, F.when(F.col("__until").isNull(), F.lit(max(loads)).cast("date"))
+                        .otherwise(F.array_max(F.filter(dates, lambda d: d < F.col("__until")))))
             .drop("__before", "__until"))
 
 
+def _first_load(batch: Column, loads: Sequence[str]) -> Column:
+    """The first load on or after a batch's date (null: none). Few loads are a chain of
+    comparisons, which is compiled; many are a search in their array."""
+    if len(loads) > 32:
+        return F.array_min(F.filter(load_dates(loads), lambda d: d >= batch))
+    out = None
+    for d in sorted(loads):
+        day = F.lit(d).cast("date")
+        out = F.when(batch <= day, day) if out is None else out.when(batch <= day, day)
+    return out
+
+
 def load_dates(loads: Sequence[str]) -> Column:
     return F.array(*[F.lit(d).cast("date") for d in loads])
 
