@@ -77,63 +77,83 @@ def blocked_prefix(df: DataFrame, group: Sequence[str], order: Sequence[str], va
             .drop("_base", "_block"))
 
 
-#: A filter is broadcast up to so many words of 16 bytes, else joined by a shuffle.
-BROADCAST_WORDS = 1 << 20
-
-
-def _slot(key: str, i: int, slots: int) -> Column:
-    return F.xxhash64(F.col(key), F.lit(i)).bitwiseAND(F.lit(slots - 1))
-
-
-def _bit(slot: str) -> Column:
-    return F.expr(f"shiftleft(1L, cast({slot} & 63 as int))")
+#: Bits of a block of a Bloom filter: 64 words of 64 bits.
+BLOCK_BITS = 4096
+#: Most bits of a filter that one broadcast holds (256 MB); a larger one is probed in slices.
+SLICE_BITS = 1 << 31
 
 
 @dataclass(frozen=True)
 class BloomFilter:
-    """A Bloom filter as a table of 64-bit words (word, bits); only words with a bit are rows."""
+    """A blocked Bloom filter as a table of blocks (slice, block, bits).
 
-    words: DataFrame
-    slots: int
+    All hashes of a key fall into one block, so probing is one join. A key belongs to one
+    slice by its hash, and a slice is at most SLICE_BITS, about ``bits_per_row`` / 8 bytes
+    of broadcast a key, whatever the number of keys.
+    """
+
+    blocks: DataFrame
+    slices: int
+    slice_blocks: int
     hashes: int
-    broadcast: bool
 
     @classmethod
     def of(cls, keys: DataFrame, key: str, at_least: int = 1, hashes: int = 3,
            bits_per_row: int = 16) -> BloomFilter:
-        """The slots that at least ``at_least`` rows of ``keys`` hit.
+        """The bits that at least ``at_least`` rows of ``keys`` hit.
 
-        A slot's hits are counted with a map-side combine, so a key of many rows is one
-        row per task. The filter has ``bits_per_row`` slots a row at any table size; its
-        words are counted, and broadcast only where they stay below BROADCAST_WORDS.
+        A bit's hits are counted with a map-side combine, so a key of many rows is one
+        row per task. The filter has ``bits_per_row`` bits a row at any table size.
         """
-        slots = 1 << max(16, (keys.count() * bits_per_row - 1).bit_length())
-        hit = keys.select(F.explode(F.array(*[_slot(key, i, slots) for i in range(hashes)])).alias("s"))
-        often = hit.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= at_least)
-        words = written(often.groupBy(F.shiftright("s", 6).alias("word"))
-                        .agg(F.bit_or(_bit("s")).alias("bits")), "bloom")
-        return cls(words, slots, hashes, words.count() <= BROADCAST_WORDS)
+        blocks = 1 << max(4, ((keys.count() * bits_per_row - 1) // BLOCK_BITS).bit_length())
+        slices = max(1, blocks * BLOCK_BITS // SLICE_BITS)
+        empty = cls(keys, slices, blocks // slices, hashes)
+        hit = keys.select(empty._slice(key).alias("slice"), empty._block(key).alias("block"),
+                          F.explode(F.array(*[empty._bit(key, i) for i in range(hashes)])).alias("bit"))
+        often = hit.groupBy("slice", "block", "bit").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= at_least)
+        words = often.groupBy("slice", "block", F.shiftright("bit", 6).alias("word")).agg(
+            F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("bits"))
+        held = words.groupBy("slice", "block").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))
+        bits = F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1)),
+                           lambda w: F.coalesce(F.col("m")[w], F.lit(0).cast("long")))
+        return cls(written(held.select("slice", "block", bits.alias("bits")), "bloom"), slices, blocks // slices, hashes)
+
+    def _slice(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(key), F.lit("slice")), F.lit(self.slices)).cast("int")
+
+    def _block(self, key: str) -> Column:
+        return F.xxhash64(F.col(key), F.lit("block")).bitwiseAND(F.lit(self.slice_blocks - 1))
+
+    def _bit(self, key: str, i: int) -> Column:
+        return F.xxhash64(F.col(key), F.lit(i)).bitwiseAND(F.lit(BLOCK_BITS - 1)).cast("int")
 
     def probe(self, rows: DataFrame, key: str, out: str) -> DataFrame:
-        """``rows`` with boolean ``out``: whether all slots of ``key`` are set."""
-        hits = []
-        for i in range(self.hashes):
-            side = self.words.select(F.col("word").alias(f"_w{i}"), F.col("bits").alias(f"_b{i}"))
-            rows = rows.withColumn(f"_s{i}", _slot(key, i, self.slots))
-            rows = rows.join(F.broadcast(side) if self.broadcast else side,
-                             F.shiftright(f"_s{i}", 6) == F.col(f"_w{i}"), "left")
-            hits.append(F.coalesce(F.col(f"_b{i}").bitwiseAND(_bit(f"_s{i}")), F.lit(0)) != 0)
-        used = [f"_{c}{i}" for i in range(self.hashes) for c in "swb"]
-        return rows.withColumn(out, reduce(lambda a, b: a & b, hits)).drop(*used)
+        """``rows`` with boolean ``out``: whether all bits of ``key`` are set.
+
+        Rows are never shuffled: each slice of the filter is broadcast, and its rows pass by.
+        With several slices ``rows`` are read once for each.
+        """
+        parts = []
+        for n in range(self.slices):
+            side = self.blocks.where(F.col("slice") == n).select(F.col("block").alias("_block"), F.col("bits").alias("_bits"))
+            mine = rows if self.slices == 1 else rows.where(self._slice(key) == n)
+            joined = mine.withColumn("_at", self._block(key)).join(F.broadcast(side), F.col("_at") == F.col("_block"), "left")
+            hits = [self._bit(key, i) for i in range(self.hashes)]
+            found = reduce(lambda a, b: a & b, [
+                F.get("_bits", F.shiftright(h, 6)).bitwiseAND(F.call_function(
+                    "shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)))) != 0 for h in hits])
+            parts.append(joined.withColumn(out, F.coalesce(found, F.lit(False))).drop("_at", "_block", "_bits"))
+        return reduce(DataFrame.unionByName, parts)
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of the undirected ``edges`` (u, v).
+    """(node, root) for every node of the undirected ``edges`` (u, v) but the roots themselves.
 
-    Alternating large-star and small-star steps: each step joins the edges with the
-    smallest neighbour of their node (a map-side combined minimum) and is written to the
-    shared folder, so nothing passes through the driver but a checksum per round. Both
-    sides of the join are plain exchanges, so a hub's edges can be split by skew joins.
+    Alternating large-star and small-star steps: each step joins the edges with the smallest
+    neighbour of their node (a map-side combined minimum) and is written to the shared
+    folder, so nothing passes through the driver but a checksum per step. Both sides of the
+    join are plain exchanges, so a hub's edges can be split by skew joins. When neither step
+    changes anything, every edge leads from a node to its component's smallest.
     """
     def canonical(e: DataFrame) -> DataFrame:
         return (e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
@@ -141,8 +161,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     def star(e: DataFrame, small: bool) -> DataFrame:
         both = e if small else e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m"))
-                        .select(F.col("u").alias("n"), F.least("u", "m").alias("m")), "star")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
         hung = both.join(least, both.u == least.n)
         if small:
             return canonical(hung.select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -153,14 +172,11 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
     now = written(canonical(edges), "edges")
-    seen = checksum(now)
-    for _ in range(rounds):
-        now = written(star(written(star(now, small=False), "large"), small=True), "small")
+    seen, still, step = checksum(now), 0, 0
+    while seen[0] and still < 2:
+        if step == 2 * rounds:
+            raise RuntimeError(f"components not settled after {rounds} rounds")
+        now = written(star(now, small=step % 2 == 1), "star")
         found = checksum(now)
-        if found == seen:
-            break
-        seen = found
-    else:
-        raise RuntimeError(f"components not settled after {rounds} rounds")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        still, seen, step = still + 1 if found == seen else 0, found, step + 1
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -210,10 +210,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     banded = classes.select(F.col("digest").alias("node"), F.posexplode(F.array(
         *[_band_key(F.lit(b)) for b in range(BANDS)])).alias("band", "key"))
-    shared = written(banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"))
-                     .where("members > 1"), "buckets")
+    shared = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     met = written(banded.join(shared, ["band", "key"]), "members")
-    scores = written(met.groupBy("node").agg(F.sum("members").alias("score")), "scores")
+    scores = met.groupBy("node").agg(F.sum("members").alias("score"))
 
     chosen = written(classes.join(scores, classes.digest == scores.node)
                      .select("node", "score", "n", "regs", F.col("of.id").alias("id"),
@@ -237,25 +236,32 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     met = written(met.select("band", "key", "node")
                   .join(facts.select("node", "score", "n", "u"), "node"), "linkable")
 
-    leaders = written(met.groupBy("band", "key").agg(F.max(F.struct("score", "node")).alias("l"),
-                                                     F.count(F.lit(1)).alias("c"))
-                      .where("c > 1").select("band", "key", F.col("l.node").alias("b")), "leaders")
+    leaders = (met.groupBy("band", "key").agg(F.max(F.struct("score", "node")).alias("l"), F.count(F.lit(1)).alias("c"))
+               .where("c > 1").select("band", "key", F.col("l.node").alias("b")))
     spokes = (met.join(leaders, ["band", "key"]).where("node <> b")
               .select(F.col("node").alias("a"), "b").distinct())
-    edges = written(_confirmed(spokes, sets, percent), "links")
-    roots = written(connected_components(edges), "roots")
+    roots = connected_components(_confirmed(spokes, sets, percent))
 
+    # what the leaders leave open links whole components
     rest = _open_pairs(met, roots, facts, percent)
-    more = written(_confirmed(rest, sets, percent), "more-links")
-    if not more.isEmpty():
-        roots = written(connected_components(edges.union(more)), "all-roots")
+    over = None
+    if rest is not None:
+        more = _confirmed(rest, sets, percent)
+        for end in ("u", "v"):
+            of = roots.select(F.col("node").alias("r_node"), F.col("root").alias("r_root"))
+            more = (more.join(of, F.col(end) == F.col("r_node"), "left")
+                    .withColumn(end, F.coalesce("r_root", end)).drop("r_node", "r_root"))
+        over = connected_components(more).select(F.col("node").alias("o_node"), F.col("root").alias("o_root"))
 
     rooted = classes.select("digest", "n", "id").join(roots, F.col("digest") == F.col("node"), "left")
-    rooted = written(rooted.select("digest", "n", "id", F.coalesce("root", "digest").alias("root")), "rooted")
-    least = written(rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-                    .withColumnRenamed("root", "of"), "least")
-    found = written(rooted.join(least, F.col("root") == F.col("of"))
-                    .select(F.col("digest").alias("c_digest"), "component_id"), "components")
+    rooted = rooted.select("digest", "n", "id", F.coalesce("root", "digest").alias("root"))
+    if over is not None:
+        rooted = (rooted.join(over, F.col("root") == F.col("o_node"), "left")
+                  .select("digest", "n", "id", F.coalesce("o_root", "root").alias("root")))
+    rooted = written(rooted, "rooted")
+    least = rooted.groupBy("root").agg(F.min("id").alias("component_id")).withColumnRenamed("root", "of")
+    found = (rooted.join(least, F.col("root") == F.col("of"))
+             .select(F.col("digest").alias("c_digest"), "component_id"))
     rows = (sketched.where("n > 0").join(found, F.col("digest") == F.col("c_digest"))
             .select("id", "row_key", "n", "component_id")
             .unionByName(sketched.where("n = 0")
@@ -264,33 +270,35 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                        "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _open_pairs(met: DataFrame, roots: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of buckets that hold several components, after the bounds.
+def _open_pairs(met: DataFrame, roots: DataFrame, facts: DataFrame, percent: int) -> DataFrame | None:
+    """Candidate pairs of buckets that hold several components, after the bounds (None: there
+    are none).
 
     A class of n shingles, u of them its own, can link only with sizes m where
     100 * m >= percent * n and percent * (m + u) <= 100 * (n - u). Members without such a
     size in their bucket leave it. The rest of a bucket is dealt into blocks of about 256;
     each pair of blocks is one group.
     """
+    def mixed(members: DataFrame) -> DataFrame:
+        return (members.groupBy("band", "key")
+                .agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.collect_set("n").alias("sizes"),
+                     F.count(F.lit(1)).alias("members"))
+                .where("r0 <> r1").select("band", "key", "sizes", "members"))
+
     rooted = met.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
     left = written(rooted.select("band", "key", "node", "n", "u",
                                  F.coalesce("root", "node").alias("root")), "rooted-members")
     for _ in range(2):
-        mixed = written(left.groupBy("band", "key")
-                        .agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
-                             F.collect_set("n").alias("sizes"), F.count(F.lit(1)).alias("members"))
-                        .where("r0 <> r1").select("band", "key", "sizes", "members"), "open-buckets")
-        left = written(left.join(mixed, ["band", "key"]).where(
+        left = written(left.join(mixed(left), ["band", "key"]).where(
             F.exists("sizes", lambda m: (100 * m >= percent * F.col("n"))
                      & (percent * (m + F.col("u")) <= 100 * (F.col("n") - F.col("u")))))
             .select("band", "key", "node", "n", "u", "root"), "open-members")
-    mixed = written(left.groupBy("band", "key")
-                    .agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
-                         F.count(F.lit(1)).alias("members"))
-                    .where("r0 <> r1").select("band", "key", "members"), "open-buckets")
+        if left.isEmpty():
+            return None
+    still = mixed(left).drop("sizes")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     side = F.pmod(F.xxhash64("node", F.lit("side")), F.col("blocks")).cast("int")
-    dealt = (left.join(mixed, ["band", "key"]).withColumn("blocks", blocks).withColumn("side", side)
+    dealt = (left.join(still, ["band", "key"]).withColumn("blocks", blocks).withColumn("side", side)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other"))
              .join(facts.select("node", "regs"), "node"))
