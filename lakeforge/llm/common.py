@@ -41,6 +41,14 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
+def free_prefix(df: DataFrame) -> str:
+    """Underscores with which no column of ``df`` begins, for helper columns beside its own."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -133,16 +141,18 @@ class BloomFilter:
         Rows are never shuffled: each slice of the filter is broadcast, and its rows pass by.
         With several slices ``rows`` are read once for each.
         """
+        p = free_prefix(rows)
+        block, bits, at = f"{p}block", f"{p}bits", f"{p}at"
+        hits = [self._bit(key, i) for i in range(self.hashes)]
+        found = reduce(lambda a, b: a & b, [
+            F.get(bits, F.shiftright(h, 6)).bitwiseAND(F.call_function(
+                "shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)))) != 0 for h in hits])
         parts = []
         for n in range(self.slices):
-            side = self.blocks.where(F.col("slice") == n).select(F.col("block").alias("_block"), F.col("bits").alias("_bits"))
+            side = self.blocks.where(F.col("slice") == n).select(F.col("block").alias(block), F.col("bits").alias(bits))
             mine = rows if self.slices == 1 else rows.where(self._slice(key) == n)
-            joined = mine.withColumn("_at", self._block(key)).join(F.broadcast(side), F.col("_at") == F.col("_block"), "left")
-            hits = [self._bit(key, i) for i in range(self.hashes)]
-            found = reduce(lambda a, b: a & b, [
-                F.get("_bits", F.shiftright(h, 6)).bitwiseAND(F.call_function(
-                    "shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)))) != 0 for h in hits])
-            parts.append(joined.withColumn(out, F.coalesce(found, F.lit(False))).drop("_at", "_block", "_bits"))
+            joined = mine.withColumn(at, self._block(key)).join(F.broadcast(side), F.col(at) == F.col(block), "left")
+            parts.append(joined.withColumn(out, F.coalesce(found, F.lit(False))).drop(at, block, bits))
         return reduce(DataFrame.unionByName, parts)
 
 

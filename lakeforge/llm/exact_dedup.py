@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BloomFilter, written
+from .common import BloomFilter, free_prefix, written
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 hashes: int = 3, bits_per_row: int = 16) -> DataFrame:
     """``df`` with keep_id, group_size, kept and text_sha256 (existing columns of these
-    names are replaced).
+    names are replaced; all others stay, whatever their names).
 
     Of rows with the same text the one with the largest id stays. Null texts count as
     empty; all empty texts are copies of each other. A null id never stays while its
@@ -26,17 +26,18 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty result. Very long texts are hashed whole.
     """
     df = df.drop("keep_id", "group_size", "kept", "text_sha256")
+    p = free_prefix(df)
+    mine, maybe, group = f"{p}digest", f"{p}maybe", f"{p}group"
     digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     keys = written(df.select(F.col(id_col).alias("_id"), digest.alias("_digest")), "text-keys")
     repeated = BloomFilter.of(keys, "_digest", 2, hashes, bits_per_row)
-    groups = written(repeated.probe(keys, "_digest", "_maybe").where("_maybe").groupBy("_digest")
-                     .agg(F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-                     .withColumnRenamed("_digest", "_group"), "copy-groups")
-    rows = repeated.probe(df.withColumn("_digest", digest), "_digest", "_maybe")
-    single = (rows.where("not _maybe")
+    groups = written(repeated.probe(keys, "_digest", "_maybe").where("_maybe").groupBy(F.col("_digest").alias(group))
+                     .agg(F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "copy-groups")
+    rows = repeated.probe(df.withColumn(mine, digest), mine, maybe)
+    single = (rows.where(~F.col(maybe))
               .withColumns({"keep_id": F.col(id_col), "group_size": F.lit(1).cast("long")}))
-    several = rows.where("_maybe").join(groups, F.col("_digest") == F.col("_group")).drop("_group")
+    several = rows.where(F.col(maybe)).join(groups, F.col(mine) == F.col(group)).drop(group)
     return (single.unionByName(several)
             .withColumns({"kept": F.col(id_col).eqNullSafe(F.col("keep_id")),
-                          "text_sha256": F.lower(F.hex("_digest"))})
-            .drop("_digest", "_maybe"))
+                          "text_sha256": F.lower(F.hex(mine))})
+            .drop(mine, maybe))

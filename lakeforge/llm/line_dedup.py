@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BloomFilter, written
+from .common import BloomFilter, free_prefix, written
 
 UNIT = "array<struct<a: int, z: int, h: bigint>>"
 
@@ -83,7 +83,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
                 phases: int = 4, min_chars: int = 40, long_words: int = 50,
                 every_pair: bool = False) -> DataFrame:
     """``df`` with its text less repeated chunks, and lines_before and lines_removed
-    (replacing columns of these names).
+    (replacing columns of these names; all others stay, whatever their names).
 
     Lines end at line feeds. Chunks shorter than ``min_chars`` are left, and so are single
     lines of up to ``long_words`` words; with ``every_pair``, which ignores ``divisor`` and
@@ -95,10 +95,12 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     are cut whole.
     """
     df = df.drop("lines_before", "lines_removed")
-    keyed = df.withColumn("_key", F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"),
-                                           F.hex(F.xxhash64(F.coalesce(text_col, F.lit(""))))))
+    p = free_prefix(df)
+    key, may, held, of = f"{p}key", f"{p}may", f"{p}gone", f"{p}of"
+    keyed = df.withColumn(key, F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"),
+                                         F.hex(F.xxhash64(F.coalesce(text_col, F.lit(""))))))
     lines = F.split(F.coalesce(text_col, F.lit("")), "\n", -1)
-    units = written(keyed.select("_key", lines.alias("_lines"))
+    units = written(keyed.select(F.col(key).alias("_key"), lines.alias("_lines"))
                     .withColumn("_h", F.transform("_lines", lambda x: F.xxhash64(x)))
                     .select("_key", F.explode(_units(long_words)).alias("u")).select("_key", "u.*"), "line-units")
     # two places at least; repeated rows are one place
@@ -116,7 +118,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     suspects = written(repeated.groupBy("_key").agg(F.collect_set(F.struct("a", "z")).alias("_c")), "suspects")
     # Bloom filters of the keys keep the texts of other documents out of the shuffles
     near = BloomFilter.of(suspects, "_key").probe(
-        keyed.select("_key", F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_key", "_may")
+        keyed.select(F.col(key).alias("_key"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_key", "_may")
     # merge joins at any size: both sides grow with the documents, whatever a small input allows
     spelled = (near.where("_may").join(suspects.hint("merge"), "_key").dropDuplicates(["_key"])
                .withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
@@ -136,19 +138,18 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
         gone = _long_runs(gone, min_chars)
     else:
         gone = gone.select("_key", F.explode(F.sequence("a", "z")).alias("line"))
-    gone = (gone.groupBy("_key").agg(F.collect_set("line").alias("_gone"))
-            .withColumnRenamed("_key", "_gone_key"))
-    gone = written(gone, "removed")
-    rows = BloomFilter.of(gone, "_gone_key").probe(keyed, "_key", "_may")
-    before = F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_lines")).alias("lines_before")
-    untouched = (rows.where("not _may").withColumn("_lines", lines)
-                 .select("*", before, F.lit(0).alias("lines_removed")).drop("_lines"))
-    left = F.expr("transform(array_except(sequence(0, size(_lines) - 1), _gone), i -> _lines[i])")
-    lost = F.col("_gone").isNotNull()
-    touched = (rows.where("_may").join(gone.hint("merge"), F.col("_key") == F.col("_gone_key"), "left")
-               .withColumn("_lines", lines)
-               .select("*", before, F.when(lost, left).otherwise(F.col("_lines")).alias("_left"))
-               .withColumn("lines_removed", F.size("_lines") - F.size("_left"))
-               .withColumn(text_col, F.when(lost, F.array_join("_left", "\n")).otherwise(F.col(text_col)))
-               .drop("_gone_key", "_gone", "_left", "_lines"))
-    return untouched.unionByName(touched).drop("_key", "_may")
+    gone = written(gone.groupBy(F.col("_key").alias(of)).agg(F.collect_set("line").alias(held)), "removed")
+    rows = BloomFilter.of(gone, of).probe(keyed, key, may)
+    every, left, lost = f"{p}lines", f"{p}left", F.col(held).isNotNull()
+    before = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(every)).alias("lines_before")
+    untouched = (rows.where(~F.col(may)).withColumn(every, lines)
+                 .select("*", before, F.lit(0).alias("lines_removed")).drop(every))
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(held))
+    touched = (rows.where(F.col(may)).join(gone.hint("merge"), F.col(key) == F.col(of), "left")
+               .withColumn(every, lines)
+               .select("*", before, F.when(lost, F.transform(numbers, lambda i: F.col(every)[i]))
+                       .otherwise(F.col(every)).alias(left))
+               .withColumn("lines_removed", F.size(every) - F.size(left))
+               .withColumn(text_col, F.when(lost, F.array_join(left, "\n")).otherwise(F.col(text_col)))
+               .drop(of, held, left, every))
+    return untouched.unionByName(touched).drop(key, may)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocked_prefix, written
+from .common import blocked_prefix, free_prefix, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -65,7 +65,8 @@ def source_targets(sizes: DataFrame, source_col: str, weights: Sequence[float],
 def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                 text_col: str = "text", weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
                 cap: float = 2.0, seed: str = "mix-1") -> DataFrame:
-    """``df`` with size, source_size, target, copies and taken (replacing such columns).
+    """``df`` with size, source_size, target, copies and taken (replacing such columns; all
+    others stay, whatever their names).
 
     ``copies`` is how often the mix takes the row, ``taken`` the words this makes. The row
     that crosses the rest of a target is taken if that ends nearer to it. Null texts have
@@ -75,10 +76,12 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
     long as one row of numbers per source fits one task.
     """
     df = df.drop("size", "source_size", "target", "copies", "taken")
+    p = free_prefix(df)
+    of, key, epochs, cut = (f"{p}{c}" for c in ("of", "key", "epochs", "cut"))
     sized = df.withColumns({"size": word_count(text_col),
-                            "_key": sample_key(id_col, text_quality(text_col), seed)})
+                            key: sample_key(id_col, text_quality(text_col), seed)})
     narrow = written(sized.select(F.col(source_col).alias("_source"), F.col(id_col).alias("_id"),
-                                  "size", "_key"), "mix-keys")
+                                  "size", F.col(key).alias("_key")), "mix-keys")
     targets = source_targets(narrow.groupBy("_source").agg(F.sum("size").alias("source_size")),
                              "_source", weights, share, cap)
     ratio = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -91,11 +94,12 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
                    .groupBy("_source").agg(F.max(F.struct("_key", "_id", "size")).alias("_cut"))
                    .withColumnRenamed("_source", "_cut_of"), "mix-cuts")
     plan = written(targets.join(cuts, F.col("_of").eqNullSafe(F.col("_cut_of")), "left")
-                   .select("_of", "source_size", "target", "epochs", "_cut"), "mix-plan")
-    mine = F.struct(F.col("_key"), F.col(id_col).alias("_id"), F.col("size"))
-    fits = F.col("_cut").isNotNull() & (mine <= F.col("_cut"))
-    return (sized.join(plan, F.col(source_col).eqNullSafe(F.col("_of")))
-            .withColumn("copies", F.when(F.col("size") > 0, F.col("epochs") + fits.cast("long"))
+                   .select(F.col("_of").alias(of), "source_size", "target", F.col("epochs").alias(epochs),
+                           F.col("_cut").alias(cut)), "mix-plan")
+    mine = F.struct(F.col(key).alias("_key"), F.col(id_col).alias("_id"), F.col("size"))
+    fits = F.col(cut).isNotNull() & (mine <= F.col(cut))
+    return (sized.join(plan, F.col(source_col).eqNullSafe(F.col(of)))
+            .withColumn("copies", F.when(F.col("size") > 0, F.col(epochs) + fits.cast("long"))
                         .otherwise(F.lit(0)).cast("long"))
             .withColumn("taken", F.col("size") * F.col("copies"))
-            .drop("_key", "_of", "_cut", "epochs"))
+            .drop(key, of, cut, epochs))

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from lakeforge.llm import common, exact_dedup, line_dedup
+from lakeforge.llm import common, exact_dedup, line_dedup, mixing
 
 
 def test_filter_finds_every_repeated_key_and_few_others(spark):
@@ -56,3 +56,20 @@ def test_components_of_random_graphs_paths_and_hubs(spark):
     assert len(found) == len({n.node for n in found})
     assert {n.node: n.root for n in found} == {i: find(i) for i in root if find(i) != i}
     assert common.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_extra_columns_of_any_name_stay(spark):
+    """Names that helpers of the operators might take, too."""
+    lines = "a line of some ten words which is long enough to\ngo where it is repeated in another text"
+    names = ["epochs", "_key", "_of", "_cut", "_group", "_digest", "_maybe", "_gone", "_lines", "_may", "_left", "_s0",
+             "_at", "_block", "_bits", "__key", "of", "key", "row"]
+    rows = [(i, lines + ("\nown" if i % 2 else ""), "s", *[f"{n}{i}" for n in names]) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, "
+                               + ", ".join(f"{n} string" for n in names))
+    for out in (exact_dedup.exact_dedup(df), mixing.mix_sources(df), line_dedup.dedup_lines(df),
+                line_dedup.dedup_lines(df, every_pair=True)):
+        assert [c for c in out.columns if c in df.columns] == df.columns
+        kept = sorted(map(tuple, out.select("doc_id", *names).collect()))
+        assert kept == sorted((r[0], *r[3:]) for r in rows)
+    assert {r.kept for r in exact_dedup.exact_dedup(df).where("doc_id > 3").collect()} == {True}
+    assert [len(r.text) > 5 for r in line_dedup.dedup_lines(df, every_pair=True).orderBy("doc_id").collect()] == [True] + [False] * 5
