@@ -34,9 +34,10 @@ RECORD = ("file string, position long, type string, record_id string, concurrent
 
 def base32_sha1(text: str) -> Column:
     """Upper-case base32 of the SHA-1 of string column ``text``: each letter 5 bits of its hex form."""
-    five_digits = f"cast(conv(substring(sha1({text}), (i div 4) * 5 + 1, 5), 16, 10) as int)"
-    return F.expr(f"array_join(transform(sequence(0, 31), i -> substring('{BASE32}', "
-                  f"(shiftright({five_digits}, cast(15 - 5 * (i % 4) as int)) & 31) + 1, 1)), '')")
+    # the hash is bound to h, once for its 32 letters
+    five_digits = "cast(conv(substring(h, (i div 4) * 5 + 1, 5), 16, 10) as int)"
+    letter = f"substring('{BASE32}', (shiftright({five_digits}, cast(15 - 5 * (i % 4) as int)) & 31) + 1, 1)"
+    return F.expr(f"transform(array(sha1({text})), h -> array_join(transform(sequence(0, 31), i -> {letter}), ''))[0]")
 
 
 def _header(name: str, value: Column) -> Column:
