@@ -14,7 +14,7 @@ import argparse
 
 from .plans.catalog import CATALOG
 from .plans.registry import materialize, parquet_context
-from .session import build_session
+from .session import build_session, cluster_conf
 
 # core tables written first, so later keys start from the written files
 MATERIALIZE_FIRST = ["dim_customer", "dim_product", "dim_store", "dim_date", "fact_sales"]
@@ -30,9 +30,12 @@ def main(argv: list[str] | None = None) -> None:
                                                     "gold_product_analytics",
                                                     "expectation_report"])
     ap.add_argument("--master", default=None)
+    ap.add_argument("--input-gb", type=float, help="size of the bronze zone: sizes shuffles and splits for it")
+    ap.add_argument("--cores", type=int, default=64, help="executor cores of the cluster, with --input-gb")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master)
+    extra = cluster_conf(int(args.input_gb * (1 << 30)), args.cores) if args.input_gb else None
+    spark = build_session(args.master, extra=extra)
     ctx = parquet_context(spark, args.bronze, args.fx)
     unknown = [m for m in args.models if m not in CATALOG]
     if unknown:

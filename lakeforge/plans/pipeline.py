@@ -66,7 +66,8 @@ def extract_and_land(spark: SparkSession, source: Callable[[str], DataFrame], zo
     """
     for t in SPECS:
         if t != "orders":
-            land_csv(source(t).select(*RAW_SCHEMAS[t].fieldNames()), zones.landing, t, batch_date)
+            land_csv(source(t).select(*RAW_SCHEMAS[t].fieldNames()), zones.landing, t, batch_date,
+                     sort_by=[SPECS[t].key])
     low = done.low if done else watermark_before(spark, zones.published, batch_date)
     orders = source("orders").select(*RAW_SCHEMAS["orders"].fieldNames())
     if done is not None:

@@ -30,7 +30,9 @@ def save_table(df: DataFrame, name: str, bucket_by: str, buckets: int, path: str
 
 
 def default_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """As many buckets as a shuffle has partitions, up to what the session allows."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
 def _table(spark: SparkSession, database: str, name: str, root: str | None) -> tuple[str, str | None]:

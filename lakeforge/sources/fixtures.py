@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# --- fixed values: adapter definitions from FIXTURES.md §2 -------------------
+# --- adapter definitions (FIXTURES.md §2) --------------------------------------
 # Lineage constants and the money types of the adapters.
 SOURCE_SYSTEM = "postgres"
 SOURCE_FILE = "fixture"
@@ -137,7 +137,7 @@ ADAPTERS = {
     "order_items": (ORDER_ITEMS, None),
     "payments": (PAYMENTS, "o_orderkey"),
 }
-# --- end of fixed values -----------------------------------------------------
+# --- end of adapter definitions ------------------------------------------------
 
 # The adapters' daily batches; after each one, silver is loaded into staging.
 LOAD_DATES = ("2026-07-01", "2026-07-02")

@@ -9,14 +9,15 @@ from ..operators.asof import asof_latest
 from ..operators.latest import latest_by_key
 from ..schemas import FX_PAYLOAD_SCHEMA
 
-# --- fixed values: feed format and status words --------------------------------
-# the leading day name ("Wed, ") is dropped before parsing
-FX_TIME_FORMAT = "dd MMM yyyy HH:mm:ss Z"
+# --- fixed values: status words of the feed ------------------------------------
 STATUS_SUCCESS = "SUCCESS"
 STATUS_DEGRADED = "DEGRADED"
-STATUS_UNAVAILABLE = "UNAVAILABLE"
 # --- end of fixed values -------------------------------------------------------
 
+STATUS_UNAVAILABLE = "UNAVAILABLE"
+# the leading day name ("Wed, ") is dropped before parsing
+FX_TIME_FORMAT = "dd MMM yyyy HH:mm:ss Z"
+
 
 def fx_rows(payloads: DataFrame, payload_col: str = "payload",
             keep: tuple[str, ...] = ()) -> DataFrame:
