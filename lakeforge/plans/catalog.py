@@ -52,4 +52,4 @@ _alias("clean_stores", "silver_stores")
 _alias("clean_payments", "silver_payments")
 
 
-from . import reports  # noqa: E402,F401  (registers the report entries)
+from . import reports, zones  # noqa: E402,F401  (register the report entries)

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import CORE_EXPECTATIONS, check_batch, run_expectations
-from ..schemas import FX_PAYLOAD_SCHEMA, FX_RAW_SCHEMA, RAW_REQUIRED_ORDER_COLUMNS, RAW_SCHEMAS, SPECS, staging_schema
+from ..schemas import (CSV_OPTIONS, FX_PAYLOAD_SCHEMA, FX_RAW_SCHEMA, RAW_REQUIRED_ORDER_COLUMNS, RAW_SCHEMAS, SPECS,
+                       staging_schema)
 from ..session import delete_path, list_names
 from ..sinks.publish import Batch, publish, published, record, watermark_before
 from ..sinks.writers import align_by_name, land_csv, replace_partition, write_full, write_observed, write_ordered
@@ -69,7 +70,10 @@ def extract_and_land(spark: SparkSession, source: Callable[[str], DataFrame], zo
             land_csv(source(t).select(*RAW_SCHEMAS[t].fieldNames()), zones.landing, t, batch_date,
                      sort_by=[SPECS[t].key])
     low = done.low if done else watermark_before(spark, zones.published, batch_date)
-    orders = source("orders").select(*RAW_SCHEMAS["orders"].fieldNames())
+    # as a landing has them: empty texts are nulls
+    orders = source("orders").select(*[
+        F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+        for f in RAW_SCHEMAS["orders"].fields])
     if done is not None:
         orders = (orders.where(F.col("order_date") <= F.lit(done.high).cast("timestamp_ntz"))
                   if done.high else orders.where(F.lit(False)))
@@ -97,7 +101,7 @@ def land_fx(spark: SparkSession, snapshots: DataFrame, zones: Zones, batch_date:
     day = spark.createDataFrame([(batch_date,)], "d string").select(F.col("d").cast("date").alias("batch_date"))
     picked = latest_good_fx(day, snapshots, strict=True)
     (fx_rows(picked).withColumn("exchange_rate", F.col("exchange_rate").cast("string"))
-     .write.mode("overwrite").option("header", True).csv(batch_path(zones.landing, FX_TABLE, batch_date)))
+     .write.mode("overwrite").options(**CSV_OPTIONS).csv(batch_path(zones.landing, FX_TABLE, batch_date)))
     picked.select("payload").write.mode("overwrite").text(batch_path(zones.landing, FX_PAYLOAD, batch_date))
     status = picked.select(F.col("fx_status").alias("status"), F.col("snapshot_date").cast("string"))
     status.write.mode("overwrite").json(batch_path(zones.landing, FX_STATUS, batch_date))
@@ -163,7 +167,7 @@ def publish_batch(spark: SparkSession, source: Callable[[str], DataFrame], fx_ra
     landed = extract_and_land(spark, source, zones, batch_date, done, lookback)
     fx_path = batch_path(zones.landing, FX_TABLE, batch_date)
     if fx_snapshots is None:
-        fx_raw.write.mode("overwrite").option("header", True).csv(fx_path)
+        fx_raw.write.mode("overwrite").options(**CSV_OPTIONS).csv(fx_path)
         fx_status = "GIVEN"
     else:
         fx_status = land_fx(spark, fx_snapshots, zones, batch_date)

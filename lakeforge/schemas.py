@@ -56,6 +56,12 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
 
 # --- end of fixed values -------------------------------------------------------
 
+#: Landed CSV: what is written reads back alike, blanks at the ends, quotes, backslashes and
+#: line feeds included (a file is then read by one task; a landing has as many files as tasks).
+#: Only an empty text can't be told from a null there, and is one.
+CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
+
 FX_RAW_SCHEMA = _s(("base_currency", T.StringType()), ("target_currency", T.StringType()),
                    ("exchange_rate", T.StringType()), ("last_updated", T.StringType()))
 

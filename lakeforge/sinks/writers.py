@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import CSV_OPTIONS
+
 
 def land_csv(df: DataFrame, root: str, table: str, batch_date: str,
              sort_by: Sequence[str] = ()) -> str:
@@ -19,7 +21,7 @@ def land_csv(df: DataFrame, root: str, table: str, batch_date: str,
     path = f"{root.rstrip('/')}/{table}/batch_date={batch_date}"
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
     # microseconds stay, so that a row read back from the landing equals the source's
-    (out.write.mode("overwrite").option("header", True)
+    (out.write.mode("overwrite").options(**CSV_OPTIONS)
      .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").csv(path))
     return path
 

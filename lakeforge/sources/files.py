@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import FX_RAW_SCHEMA, RAW_SCHEMAS, bronze_schema
+from ..schemas import CSV_OPTIONS, FX_RAW_SCHEMA, RAW_SCHEMAS, bronze_schema
 from ..session import path_exists
 from ..sinks.writers import align_by_name
 
@@ -27,7 +27,7 @@ def read_raw_csv(spark: SparkSession, root: str, table: str, batch_date: str,
     """
     path = batch_path(root, table, batch_date)
     if infer:
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+        return spark.read.options(**CSV_OPTIONS).option("inferSchema", True).csv(path)
     return align_by_name(read_landed(spark, path), schema or RAW_SCHEMAS[table])
 
 
@@ -37,9 +37,9 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     The header is taken from one file; a file of the folder with another header raises
     (``enforceSchema`` off), as its rows would else be read by position.
     """
-    names = spark.read.option("header", True).csv(path).columns
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+    return spark.read.schema(text).options(**CSV_OPTIONS).option("enforceSchema", False).csv(path)
 
 
 def uncastable(landed: DataFrame, schema: T.StructType) -> Column:
@@ -84,7 +84,7 @@ def read_corrupt_count(spark: SparkSession, path: str, schema: T.StructType,
     reader = (spark.read.schema(s).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if fmt == "csv":
-        df = reader.option("header", True).option("enforceSchema", False).csv(path)
+        df = reader.options(**CSV_OPTIONS).option("enforceSchema", False).csv(path)
     else:
         df = reader.json(path)
     # a data column is read alongside the corrupt-record column: the parser must

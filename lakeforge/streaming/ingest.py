@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_by_key
-from ..schemas import RAW_SCHEMAS, SPECS, bronze_schema
+from ..schemas import CSV_OPTIONS, RAW_SCHEMAS, SPECS, bronze_schema
 from ..session import path_exists
 from ..sinks.writers import write_full
 
@@ -28,7 +28,7 @@ def stream_bronze(spark: SparkSession, raw_root: str, bronze_root: str, table: s
                   checkpoint: str, source_system: str = "postgres") -> StreamingQuery:
     """Start the raw->bronze stream for one table (AvailableNow trigger)."""
     schema = T.StructType(RAW_SCHEMAS[table].fields + [T.StructField("batch_date", T.DateType())])
-    raw = (spark.readStream.schema(schema).option("header", True)
+    raw = (spark.readStream.schema(schema).options(**CSV_OPTIONS)
            .option("enforceSchema", False)  # a header other than the schema's names raises
            .option("maxFilesPerTrigger", 1000)
            .csv(f"{raw_root.rstrip('/')}/{table}"))

@@ -191,6 +191,16 @@ def test_landed_csv_is_read_by_name(spark, tmpdir_run):
         read_landed(spark, path).collect()
 
 
+def test_landed_text_comes_back_alike(spark, tmpdir_run):
+    hard = [" blanks  ", "", None, 'a "quoted" one', "comma, and \\", '\\"', "two\nlines\r\nthree", "'", "ü€", "\t"]
+    moment = dt.datetime(2026, 7, 1, 1, 2, 3, 123456)
+    rows = [(i, t, t, moment) for i, t in enumerate(hard)]
+    df = spark.createDataFrame(rows, "customer_id long, first_name string, address string, created_at timestamp_ntz")
+    land_csv(df.repartition(2), tmpdir_run, "customers", "2026-07-01")
+    back = read_raw_csv(spark, tmpdir_run, "customers", "2026-07-01").select(*df.columns)
+    assert sorted(map(tuple, back.collect())) == [(i, t or None, t or None, m) for i, t, _, m in rows]
+
+
 def test_stream_refuses_another_header(spark, tmpdir_run):
     from lakeforge.streaming.ingest import stream_bronze
     path = os.path.join(tmpdir_run, "raw", "stores", "batch_date=2026-07-01")
