@@ -75,13 +75,16 @@ def align_by_name(df: DataFrame, target: T.StructType) -> DataFrame:
     the target are dropped, every value is cast to the target type
     (``try_cast``: a value that does not fit becomes NULL).
     """
-    lower = {c.lower(): c for c in df.columns}
+    held = {f.name.lower(): f for f in df.schema.fields}
     cols = []
     for f in target.fields:
-        src = lower.get(f.name.lower())
-        col = F.col(f"`{src}`").try_cast(f.dataType) if src is not None else \
-            F.lit(None).cast(f.dataType)
-        cols.append(col.alias(f.name))
+        src = held.get(f.name.lower())
+        if src is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif src.dataType == f.dataType:
+            cols.append(F.col(f"`{src.name}`").alias(f.name))
+        else:
+            cols.append(F.col(f"`{src.name}`").try_cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
