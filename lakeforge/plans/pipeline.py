@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from ..operators.quality import CORE_EXPECTATIONS, check_batch, run_expectations
 from ..schemas import (CSV_OPTIONS, FX_PAYLOAD_SCHEMA, FX_RAW_SCHEMA, RAW_REQUIRED_ORDER_COLUMNS, RAW_SCHEMAS, SPECS,
                        staging_schema)
-from ..session import delete_path, list_names
+from ..session import delete_path, list_names, path_exists
 from ..sinks.publish import Batch, publish, published, record, watermark_before
 from ..sinks.writers import align_by_name, land_csv, replace_partition, write_full, write_observed, write_ordered
 from ..sources.extract import read_incremental, read_with_lookback
@@ -158,12 +158,15 @@ def publish_batch(spark: SparkSession, source: Callable[[str], DataFrame], fx_ra
     """Extract, land, check and publish one batch into the raw zone; returns its record.
 
     A batch that is published already is left as it is, unless ``refresh`` asks to read the
-    source again; even then the orders stay within the interval that the batch covers. A
-    failed check raises and leaves the raw zone untouched.
+    source again or a folder of it is missing (a refresh that was cut off); even then the
+    orders stay within the interval that the batch covers. A failed check raises and leaves
+    the raw zone untouched.
     """
     done = published(spark, zones.published, batch_date)
     if done is not None and not refresh:
-        return done
+        held = [t for t in (*SPECS, FX_TABLE) if t != "orders" or done.has_orders]
+        if all(path_exists(spark, batch_path(zones.raw, t, batch_date)) for t in held):
+            return done
     landed = extract_and_land(spark, source, zones, batch_date, done, lookback)
     fx_path = batch_path(zones.landing, FX_TABLE, batch_date)
     if fx_snapshots is None:

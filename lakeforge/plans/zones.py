@@ -53,8 +53,8 @@ def bronze_from_landing(ctx: Context) -> DataFrame:
 
 @entry("published_batch")
 def published_batch(ctx: Context) -> DataFrame:
-    """Rows per table of a batch that landed, passed the gate and was published, with the rows
-    that are typed as their schema says."""
+    """Rows per table of a batch that landed, passed the gate and was published: rows whose
+    key, and rates whose value, read back as their type."""
     zones = Zones(_folder(ctx, "published-zones"))
     publish_batch(ctx.spark, lambda t: _source(ctx, t), ctx.source("fx_rates"), zones, BATCH, ingestion_ts=INGESTED)
     raw = {t: read_raw_csv(ctx.spark, zones.raw, t, BATCH).where(F.col(SPECS[t].key).isNotNull()) for t in SPECS}
