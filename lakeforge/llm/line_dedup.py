@@ -9,9 +9,9 @@ part. Chunks of two lines or more, and single lines of more than ``long_words``
 occur again anywhere are compared byte by byte with the first of their occurrences, and all
 but that one are removed.
 
-With ``every_pair`` each repeated pair of lines is a chunk of its own, the smallest there is.
-Every longer repeated chunk is a run of such pairs, so whatever the phases remove goes, and
-a passage goes whole also where the pairs at its rims occur elsewhere; no phase is needed.
+With ``every_pair`` a last step follows: of what the phases left, each repeated pair of lines
+is a chunk of its own, the smallest there is. So a passage goes whole also where the pairs at
+its rims occur elsewhere and the phases ended its chunks differently in its documents.
 
 A line goes only because of an equal line in a smaller document, or further up in its
 own, so the first occurrence of every line stays somewhere.
@@ -62,16 +62,10 @@ def _chunks(units: DataFrame, phases: int, divisor: int) -> DataFrame:
     return found.union(units.where("a = z").select("_key", "a", "z", "h"))
 
 
-def _long_runs(units: DataFrame, min_chars: int) -> DataFrame:
-    """Lines (_key, line) of the units (_key, a, z, n_a, n) whose runs have ``min_chars`` characters.
-
-    ``n`` are the characters of a unit, ``n_a`` those of its first line; line feeds inside
-    of a run count.
-    """
-    n_z = F.when(F.col("a") < F.col("z"), F.col("n") - F.col("n_a") - 1).otherwise(F.col("n_a"))
-    lines = (units.select("_key", F.explode(F.array(F.struct(F.col("a").alias("line"), F.col("n_a").alias("size")),
-                                                    F.struct(F.col("z").alias("line"), n_z.alias("size")))).alias("l"))
-             .select("_key", "l.*").repartition("_key").distinct())
+def _long_runs(lines: DataFrame, min_chars: int) -> DataFrame:
+    """Those of the ``lines`` (_key, line, size) whose runs have ``min_chars`` characters; line
+    feeds inside of a run count."""
+    lines = lines.repartition("_key").distinct()
     down = Window.partitionBy("_key").orderBy("line")
     run = F.col("line") - F.row_number().over(down)
     whole = F.sum(F.col("size") + 1).over(Window.partitionBy("_key", "run")) - 1
@@ -79,6 +73,39 @@ def _long_runs(units: DataFrame, min_chars: int) -> DataFrame:
             .where(F.col("chars") >= min_chars).select("_key", "line"))
 
 
+def _repeated(units: DataFrame) -> DataFrame:
+    """Those of the ``units`` (_key, a, z, h) whose hash occurs at two places at least; repeated
+    rows are one place."""
+    place = F.xxhash64("_key", "a")
+    often = written(units.groupBy("h").agg(F.min(place).alias("one"), F.max(place).alias("other"))
+                    .where("one <> other").select("h"), "repeated-units")
+    return units.join(often, "h").select("_key", "a", "z", "h").distinct()
+
+
+def _later_equals(texts: DataFrame, chunks: DataFrame, min_chars: int) -> DataFrame:
+    """(_key, a, sizes): which of the ``chunks`` (_key, a, z) equal, byte by byte, one that
+    comes before, and the lengths of their lines. ``texts`` are (_key, _id, _text)."""
+    suspects = written(chunks.groupBy("_key").agg(F.collect_set(F.struct("a", "z")).alias("_c")), "suspects")
+    # a Bloom filter of the keys keeps the texts of other documents out of the shuffle
+    near = BloomFilter.of(suspects, "_key").probe(texts, "_key", "_may")
+    # merge joins at any size: both sides grow with the documents, whatever a small input allows
+    spelled = (near.where("_may").join(suspects.hint("merge"), "_key").dropDuplicates(["_key"])
+               .withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
+               .select("_key", "_id", "_lines", F.explode("_c").alias("c"))
+               .select("_key", "_id", "c.a", F.expr("slice(_lines, c.a + 1, c.z - c.a + 1)").alias("held"))
+               .select("_key", "_id", "a", F.array_join("held", "\n").alias("chunk"),
+                       F.transform("held", lambda x: F.length(x)).alias("sizes"))
+               .where(F.length("chunk") >= min_chars))
+    spelled = written(spelled, "occurrences")
+    # grouping by the chunk compares its bytes; its digest then names the group to narrow rows
+    digest = F.unhex(F.sha2("chunk", 256)).alias("d")
+    first = written(spelled.groupBy("chunk").agg(F.min(F.struct("_id", "_key", "a")).alias("f"),
+                                                 F.count(F.lit(1)).alias("n")).where("n > 1").select(digest, "f"),
+                    "first")
+    later = (F.col("_key") != F.col("f._key")) | (F.col("a") != F.col("f.a"))
+    return spelled.select("_key", "a", "sizes", digest).join(first, "d").where(later).select("_key", "a", "sizes")
+
+
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = 2,
                 phases: int = 4, min_chars: int = 40, long_words: int = 50,
                 every_pair: bool = False) -> DataFrame:
@@ -86,10 +113,10 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     (replacing columns of these names; all others stay, whatever their names).
 
     Lines end at line feeds. Chunks shorter than ``min_chars`` are left, and so are single
-    lines of up to ``long_words`` words; with ``every_pair``, which ignores ``divisor`` and
-    ``phases``, it is the runs of removed lines that must have ``min_chars``. The first occurrence is that of the smallest id
-    (null ids first), then the smallest text hash, then the highest up. Rows stay even
-    where nothing of their text is left (then it is empty). A null text stays null and has
+    lines of up to ``long_words`` words; with ``every_pair`` it is the runs of removed lines
+    that must have ``min_chars``, and ``divisor`` and ``phases`` do not change the result. The
+    first occurrence is that of the smallest id (null ids first), then the smallest text hash,
+    then the highest up. Rows stay even where nothing of their text is left (then it is empty). A null text stays null and has
     no line; an empty one is one empty line. Repeated rows (same id and text) count as one
     document and have one result. An empty table gives an empty result; very long texts
     are cut whole.
@@ -103,41 +130,23 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
     units = written(keyed.select(F.col(key).alias("_key"), lines.alias("_lines"))
                     .withColumn("_h", F.transform("_lines", lambda x: F.xxhash64(x)))
                     .select("_key", F.explode(_units(long_words)).alias("u")).select("_key", "u.*"), "line-units")
-    # two places at least; repeated rows are one place
-    place = F.xxhash64("_key", "a")
-    often = written(units.groupBy("h").agg(F.min(place).alias("one"), F.max(place).alias("other"))
-                    .where("one <> other").select("h"), "repeated-units")
-    met = written(units.join(often, "h").select("_key", "a", "z", "h").distinct(), "met-units")
-    if every_pair:
-        repeated = met
-    else:
-        chunks = written(_chunks(met, phases, divisor), "chunks")
-        again = written(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"),
-                        "repeated-chunks")
-        repeated = chunks.join(again, "h")
-    suspects = written(repeated.groupBy("_key").agg(F.collect_set(F.struct("a", "z")).alias("_c")), "suspects")
-    # Bloom filters of the keys keep the texts of other documents out of the shuffles
-    near = BloomFilter.of(suspects, "_key").probe(
-        keyed.select(F.col(key).alias("_key"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_key", "_may")
-    # merge joins at any size: both sides grow with the documents, whatever a small input allows
-    spelled = (near.where("_may").join(suspects.hint("merge"), "_key").dropDuplicates(["_key"])
-               .withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
-               .select("_key", "_id", "_lines", F.explode("_c").alias("c"))
-               .select("_key", "_id", "c.*", F.expr("length(_lines[c.a])").alias("n_a"),
-                       F.expr("array_join(slice(_lines, c.a + 1, c.z - c.a + 1), '\n')").alias("chunk"))
-               .where(F.length("chunk") >= (0 if every_pair else min_chars)))
-    spelled = written(spelled, "occurrences")
-    # grouping by the chunk compares its bytes; its digest then names the group to narrow rows
-    digest = F.unhex(F.sha2("chunk", 256)).alias("d")
-    first = written(spelled.groupBy("chunk").agg(F.min(F.struct("_id", "_key", "a")).alias("f"),
-                                                 F.count(F.lit(1)).alias("n")).where("n > 1").select(digest, "f"),
-                    "first")
-    gone = (spelled.select("_key", "a", "z", "n_a", F.length("chunk").alias("n"), digest).join(first, "d")
-            .where((F.col("_key") != F.col("f._key")) | (F.col("a") != F.col("f.a"))))
+    texts = keyed.select(F.col(key).alias("_key"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    met = written(_repeated(units), "met-units")
+    chunks = written(_chunks(met, phases, divisor), "chunks")
+    again = written(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"),
+                    "repeated-chunks")
+    later = written(_later_equals(texts, chunks.join(again, "h"), 0 if every_pair else min_chars), "later-chunks")
+    gone = later.select("_key", F.posexplode("sizes").alias("i", "size"), "a").select(
+        "_key", (F.col("a") + F.col("i")).alias("line"), "size")
     if every_pair:
-        gone = _long_runs(gone, min_chars)
-    else:
-        gone = gone.select("_key", F.explode(F.sequence("a", "z")).alias("line"))
+        # units within chunks that go are later than equal ones that stay, so no first one is missed
+        inside = F.sequence(F.lit(0), F.greatest(F.size("sizes") - 2, F.lit(0)))
+        covered = later.select("_key", F.explode(F.transform(inside, lambda i: F.struct(
+            (F.col("a") + i).alias("a"), (F.col("a") + F.least(i + 1, F.size("sizes") - 1)).alias("z")))).alias("u"))
+        left = written(met.join(covered.select("_key", "u.*"), ["_key", "a", "z"], "left_anti"), "left-units")
+        pairs = _later_equals(texts, _repeated(left), 0)
+        gone = _long_runs(gone.union(pairs.select("_key", F.posexplode("sizes").alias("i", "size"), "a").select(
+            "_key", (F.col("a") + F.col("i")).alias("line"), "size")), min_chars)
     gone = written(gone.groupBy(F.col("_key").alias(of)).agg(F.collect_set("line").alias(held)), "removed")
     rows = BloomFilter.of(gone, of).probe(keyed, key, may)
     every, left, lost = f"{p}lines", f"{p}left", F.col(held).isNotNull()

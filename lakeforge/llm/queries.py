@@ -46,7 +46,8 @@ def op3_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), every_pair=True)
+    return line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  phases=2, every_pair=True)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

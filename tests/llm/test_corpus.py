@@ -391,7 +391,7 @@ def test_pipeline_removes_near_copies_from_four_fifths(spark):
     assert len(set(root for _, root in _brute_components(rows).values())) == len(rows)
 
 
-def test_line_dedup_of_passages_whose_rims_recur(spark):
+def test_line_dedup_of_passages_whose_rims_recur(spark, monkeypatch):
     """Parts of passages stand alone elsewhere, copies are edited at different lines, short lines make runs."""
     rng = random.Random(11)
     line = lambda n=9: " ".join("".join(rng.choices("abcdef", k=5)) for _ in range(n))
@@ -426,8 +426,17 @@ def test_line_dedup_of_passages_whose_rims_recur(spark):
                     gone[i] = gone[i] - set(range(n, z))
     want = {i: "\n".join(x for n, x in enumerate(t) if n not in gone[i]) for i, t in enumerate(texts)}
     df = spark.createDataFrame(rows, "doc_id long, text string")
+    parts, compare = [], line_dedup._later_equals
+    monkeypatch.setattr(line_dedup, "_later_equals", lambda *a: parts.append(compare(*a)) or parts[-1])
     found = line_dedup.dedup_lines(df, every_pair=True).collect()
     assert {r.doc_id: r.text for r in found} == want
+    # the phases find chunks of many lines, the last step only pairs that they left
+    chunks, pairs = ([len(r.sizes) for r in x.collect()] for x in parts)
+    assert max(chunks) > 2 and {1, 2} >= set(pairs) and 0 < len(pairs) < len(chunks)
+    monkeypatch.undo()
+    for phases in (1, 2):
+        found = line_dedup.dedup_lines(df, every_pair=True, phases=phases).collect()
+        assert {r.doc_id: r.text for r in found} == want
     less = _brute_lines(rows)
     assert all(less[i, t] <= gone[i] for i, t in rows)
     assert sum(map(len, less.values())) < sum(map(len, gone.values()))
