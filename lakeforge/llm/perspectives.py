@@ -15,7 +15,8 @@ from .common import blocked_prefix, written
 
 START, END = "<|im_start|>", "<|im_end|>"
 SYSTEM = "system"
-UNNAMED = "unknown"
+#: What a name spells as its code, so that no two roles have one name: blanks, the mark's sign, the code's own.
+ESCAPED = "% \t\n\x0b\f\r<"
 
 
 def _plain(text: Column) -> Column:
@@ -23,13 +24,20 @@ def _plain(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"<\|(im_start|im_end)\|>", "<$1>")
 
 
+def _name(role: Column) -> Column:
+    for c in ESCAPED:
+        role = F.replace(role, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return F.coalesce(F.concat(F.lit(" name="), role), F.lit(""))
+
+
 def rotate_perspectives(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                         role_col: str = "role", text_col: str = "text", window_turns: int = 64) -> DataFrame:
     """One row per dialogue, participant and window: conv, participant, window, n_turns,
     text, loss_spans (array of start and stop, in characters of text, stop excluded).
 
-    Participants are the distinct roles but the system and null; a null role speaks as the
-    user "unknown". Turns are ordered by turn (null first), then role, then text; repeated
+    Participants are the distinct roles but the system and null; a null role speaks as a
+    user without a name. Different roles have different names: blanks, "%" and "<" in them are
+    spelled as their codes, like %20. Turns are ordered by turn (null first), then role, then text; repeated
     rows are turns of their own. Null texts are empty turns, rendered as such. A null
     dialogue id is one dialogue. The assistant's span covers its text and the closing
     mark; a window without any has no span. Dialogues without a participant give no row,
@@ -42,10 +50,9 @@ def rotate_perspectives(df: DataFrame, conv_col: str = "conv_id", turn_col: str
                      .select(F.col("conv").alias("p_conv"), F.col("role").alias("participant")).distinct(),
                      "participants")
     own = F.col("role").eqNullSafe(F.col("participant"))
-    name = _plain(F.coalesce(F.regexp_replace("role", r"\s+", "_"), F.lit(UNNAMED)))
     head = (F.when(F.col("role") == SYSTEM, F.lit(f"{START}{SYSTEM}\n"))
             .when(own, F.lit(f"{START}assistant\n"))
-            .otherwise(F.concat(F.lit(f"{START}user name="), name, F.lit("\n"))))
+            .otherwise(F.concat(F.lit(f"{START}user"), _name(F.col("role")), F.lit("\n"))))
     body = F.concat(_plain(F.col("text")), F.lit(END))
     said = F.struct(F.col("at"), F.concat(head, body, F.lit("\n")).alias("s"), F.length(head).alias("lo"),
                     (F.length(head) + F.length(body)).alias("hi"), own.alias("own"))

@@ -241,8 +241,9 @@ ORACLE: dict[str, str] = {
             SELECT p.conv_id, participant, pos // 64 AS win, pos, role IS NOT DISTINCT FROM participant AS own,
                    CASE WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
                         WHEN role = participant THEN '<|im_start|>assistant' || chr(10)
-                        ELSE '<|im_start|>user name=' || coalesce(regexp_replace(role, '\s+', '_', 'g'), 'unknown')
-                             || chr(10) END AS head, text || '<|im_end|>' AS body
+                        ELSE '<|im_start|>user' || coalesce(' name=' || replace(replace(replace(replace(replace(
+                             replace(replace(replace(role, '%', '%25'), ' ', '%20'), chr(9), '%09'), chr(10), '%0A'),
+                             chr(11), '%0B'), chr(12), '%0C'), chr(13), '%0D'), '<', '%3C'), '') || chr(10) END AS head, text || '<|im_end|>' AS body
             FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
         o AS (
             SELECT *, (sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, participant, win ORDER BY pos)

@@ -2,8 +2,8 @@
 
 Every run of key characters that is long and dense enough, every dotted token and every
 value assigned to a key word is a candidate, whatever the value's length. Features describe its
-length, the transitions between its characters, how much of it a dictionary of common
-word parts covers, the path it was found on and the words beside it. A random forest
+length, the transitions between its characters, how much of it the dictionary covers (the
+words that documents of the corpus share, and common word parts), the path it was found on and the words beside it. A random forest
 trained on labelled findings gives each candidate the probability of being a secret.
 """
 
@@ -29,6 +29,8 @@ CANDIDATE = (rf"(?<![{KEY_CHARS}])(?=[{KEY_CHARS}]{{{MIN_LENGTH}}})(?=[{KEY_CHAR
 PARTS = ("tion ing ment the and ent ion her ter ver ere ate ons der die ein sch und ich que les des est "
          "ado mente cion ar er en es re or an on in te de la se con pour para das not ung lich gen "
          "test example sample dummy").split()
+#: A word is in the dictionary if it stands by itself in as many documents.
+WORD_DOCUMENTS = 5
 KEY_WORDS = r"(?i)(pass(word|wd)?|pwd|secret|token|api_?key|access_?key|private_?key|credential|auth|bearer)"
 DULL_WORDS = r"(?i)(example|sample|sha\d*|md5|checksum|commit|uuid|isbn|order|invoice|phone|license)"
 #: Parts with dots between them, as in web tokens, as one candidate.
@@ -91,6 +93,34 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
             .select("id", "path", "position", "part", "c.candidate", "before", "c.label", "after"))
 
 
+def dictionary(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word): lower-cased runs of three letters or more that stand by themselves, not in a path
+    or a key, in WORD_DOCUMENTS documents and two different texts at least.
+
+    Each task counts its words before they are shuffled, so frequent ones are one row a task.
+    """
+    alone = r"(?<![\p{L}\p{N}_+/=\-])\p{L}{3,}(?![\p{L}\p{N}_+/=\-])"
+    text = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+    words = df.select(F.xxhash64(text_col).alias("t"), F.explode(F.array_distinct(
+        F.regexp_extract_all(text, F.lit(alone), F.lit(0)))).alias("word"))
+    return (words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("one"), F.max("t").alias("other"))
+            .where((F.col("n") >= WORD_DOCUMENTS) & (F.col("one") != F.col("other"))).select("word"))
+
+
+def with_known_share(found: DataFrame, words: DataFrame) -> DataFrame:
+    """``found`` with ``known``: the share of the candidate's characters in words of the dictionary.
+
+    A candidate's words are its runs of small letters, with the capital before them, and of
+    capitals. Each different candidate is looked up once.
+    """
+    parts = F.filter(F.transform(F.regexp_extract_all("candidate", F.lit(r"\p{Lu}?\p{Ll}{2,}|\p{Lu}{3,}"), F.lit(0)),
+                                 lambda w: F.lower(w)), lambda w: F.length(w) >= 3)
+    held = (found.select("candidate").distinct().select("candidate", F.explode(parts).alias("word")).join(words, "word")
+            .groupBy("candidate").agg(F.sum(F.length("word")).alias("_held")))
+    return (found.join(held, "candidate", "left")
+            .withColumn("known", F.coalesce(F.col("_held") / F.length("candidate"), F.lit(0.0))).drop("_held"))
+
+
 def _share(pattern: str) -> Column:
     """Share of the candidate's characters that ``pattern`` matches."""
     left = F.length(F.regexp_replace("candidate", pattern, ""))
@@ -98,7 +128,7 @@ def _share(pattern: str) -> Column:
 
 
 def features() -> dict[str, Column]:
-    """The forest's inputs by name, over the columns of ``candidates``."""
+    """The forest's inputs by name, over the columns of ``candidates`` and ``known``."""
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         "candidate", "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0"), "[^aA0]+", "-")
     letters = F.array_distinct(F.split("candidate", ""))
@@ -112,6 +142,7 @@ def features() -> dict[str, Column]:
             F.lower("candidate"), "[aeiou][bcdfghj-np-tv-z]|[bcdfghj-np-tv-z][aeiou]", "")) / F.length("candidate"),
         "distinct": F.size(letters) / F.length("candidate"),
         "covered": _share("(?i)(" + "|".join(sorted(PARTS, key=lambda p: (-len(p), p))) + ")"),
+        "known": F.col("known"),
         "test_path": flag(F.coalesce(F.col("path").rlike(TEST_PATH), F.lit(False))),
         "path_depth": F.coalesce(F.size(F.split("path", "/")), F.lit(0)).cast("double"),
         "key_word": flag(near.rlike(KEY_WORDS)), "dull_word": flag(near.rlike(DULL_WORDS)),
@@ -125,14 +156,14 @@ def weak_labels() -> Column:
 
     Secrets: known key formats, and what is assigned to a word that means a key, unless it
     has neither a digit nor a capital behind a small letter. Not
-    secrets: numbers, runs of word parts, and what stands beside words such as checksum.
+    secrets: numbers, runs of words or word parts, and what stands beside words such as checksum.
     """
     f = features()
     number = F.col("candidate").rlike("^[0-9+_/.=-]+$")
     mixed = F.col("candidate").rlike("[0-9]|[a-z][A-Z]")
     return (F.when(F.col("candidate").rlike("^(AKIA|ASIA)[0-9A-Z]{16}$"), 1)
             .when((f["key_word"] > 0) & (f["assigned"] > 0) & ~number & mixed, 1)
-            .when(number | (f["covered"] >= 0.6) | (f["dull_word"] > 0), 0))
+            .when(number | (f["covered"] >= 0.6) | (f["known"] >= 0.6) | (f["dull_word"] > 0), 0))
 
 
 def scan(df: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -148,7 +179,8 @@ def scan(df: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id
     candidates are one candidate. Other columns of ``df`` are not read.
     """
     inputs = features()
-    found = candidates(df, id_col, text_col, path_col).withColumn("weak", weak_labels())
+    found = written(candidates(df, id_col, text_col, path_col), "raw-candidates")
+    found = with_known_share(found, dictionary(df, text_col)).withColumn("weak", weak_labels())
     found = written(found.withColumns(inputs).drop("path", "after"), "candidates")
     if findings is None:
         known = found.where(F.col("weak").isNotNull()).withColumn("y", F.col("weak").cast("double"))
