@@ -36,7 +36,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without repeated chunks of lines; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs, every_pair=True).withColumn("n_chars", F.length("text").cast("long"))
+    out = line_dedup.dedup_lines(docs, phases=2, every_pair=True).withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*docs.columns)
 
 
