@@ -1,5 +1,6 @@
 """Corpus operators against DuckDB, brute force and planted cases; hard inputs of every kind."""
 
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -7,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -324,6 +326,11 @@ def test_perspectives_of_hard_turns(spark):
     mine = next(r for r in perspectives.rotate_perspectives(df).collect() if r.participant == "me")
     heads = [x.split("\n")[0] for x in mine.text.split("<|im_start|>")[1:]]
     assert len(set(heads)) == len(roles) and mine.text.count("<|im_end|>") == len(roles)
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas())
+    told = con.execute(ORACLE["op8_perspectives"]).df()
+    want = {(r.participant, r.text, int(r.n_turns)) for r in told.itertuples()}
+    assert {(r.participant, r.text, r.n_turns) for r in perspectives.rotate_perspectives(df).collect()} == want
 
 
 def test_quality_on_held_out_labels(spark, hard, none):
@@ -449,6 +456,35 @@ def test_line_dedup_of_passages_whose_rims_recur(spark, monkeypatch):
     assert {r.doc_id: (r.text, r.n_chars) for r in stage} == {i: (t, len(t)) for i, t in want.items()}
 
 
+def test_quality_scores_match_brute_force(spark):
+    """Sizes of 1000-byte blocks under either dictionary, then the weights, text by text."""
+    rng = random.Random(12)
+    good, bad = ([" ".join(rng.choices(words, k=40)) for _ in range(60)]
+                 for words in (["amber", "birch", "cedar", "delta"], ["xyzzy", "qwfpg", "zxcvb", "jluyk"]))
+    model = compression_quality.CompressionModel(*("".join(t).encode() for t in (good, bad)),
+                                                 weights=(0.3, 5.0, 2.0, -1.5, 0.2))
+    texts = [*good[:9], *bad[:9], None, "", "a", "é" * 1700, "long text " * 900, good[0] * 8 + bad[0] * 9]
+
+    def size(held, raw):
+        kept = zstandard.ZstdCompressionDict(held) if held else None
+        if kept:
+            kept.precompute_compress(level=3)
+        c = zstandard.ZstdCompressor(level=3, dict_data=kept, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return len(c.compress(raw))
+    want = {}
+    for i, t in enumerate(texts):
+        raw, x = (t or "").encode(), [1.0, 0.0, 0.0, 1.0, 0.0]
+        if raw:
+            blocks = [raw[k * 1000:k * 1000 + 1000] for k in range(-(-len(raw) // 1000))]
+            g, b = (sum(size(held, x) for x in blocks) for held in (model.good, model.bad))
+            x = [1.0, (b - g) / len(raw), (b - g) / max(b, g), size(None, raw) / len(raw), math.log(len(raw))]
+        want[i] = 1 / (1 + math.exp(-sum(map(float.__mul__, model.weights, x))))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = compression_quality.classify(df, model, threshold=0.7).collect()
+    assert all(abs(r.score - want[r.doc_id]) < 1e-12 and r.predicted == (want[r.doc_id] >= 0.7) for r in found)
+    assert len(found) == len(texts) and len({r.predicted for r in found}) == 2
+
+
 def test_dictionary_and_what_it_covers(spark):
     """Words of five documents at least, of two texts at least, standing by themselves."""
     rng = random.Random(4)
