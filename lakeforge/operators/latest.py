@@ -36,31 +36,40 @@ def latest_by_key(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[s
 
 
 def latest_by_load(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str | Column],
-                   tie_breakers: Sequence[str | Column], batch_col: str, loads: Sequence[str]) -> DataFrame:
+                   tie_breakers: Sequence[str | Column], batch_col: str, loads: Sequence[str],
+                   hot_keys: bool = False) -> DataFrame:
     """The newest row per key as of every load date, in one pass whatever their number.
 
     The result of ``latest_by_key`` over the batches up to a load is the rows whose
     ``LOAD_FROM`` .. ``LOAD_TO`` (both inclusive, dates of ``loads``) hold that load
     (``at_loads`` spreads them out). A row enters at the first load on or after its batch;
-    of the rows of a key that enter together only the newest counts (limited map-side, so
-    a hot key is at most one row per task and load), and it replaces the one before only
-    if it isn't older than everything that entered earlier. A batch after the last load,
-    or without a date, is in none.
+    of the rows of a key that enter together only the newest counts, and it replaces the one
+    before only if it isn't older than everything that entered earlier. A batch after the last
+    load, or without a date, is in none.
+
+    All windows are over the key alone, so the rows are shuffled once and stay dealt out by
+    key for whoever picks one of its versions next. A key's rows then meet in one task, which
+    spills what it can't hold. With ``hot_keys`` each map task first keeps a key's newest row
+    per load (a second shuffle), for sources where a key holds a large share of the rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     dates = load_dates(loads)
     order = list(order_by) + list(tie_breakers)
-    entered = df.withColumn(LOAD_FROM, _first_load(F.col(batch_col), loads))
-    newest = latest_by_key(entered.where(F.col(LOAD_FROM).isNotNull()), [*keys, LOAD_FROM], order_by, tie_breakers)
+    entered = df.withColumn(LOAD_FROM, _first_load(F.col(batch_col), loads)).where(F.col(LOAD_FROM).isNotNull())
+    if hot_keys:
+        entered = latest_by_key(entered, [*keys, LOAD_FROM], order_by, tie_breakers)
     rank = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
-    by_load = Window.partitionBy(*keys).orderBy(LOAD_FROM)
-    before = F.max(rank).over(by_load.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = newest.withColumn("__before", before).where(F.col("__before").isNull() | (rank >= F.col("__before")))
-    until = F.lead(LOAD_FROM).over(by_load)
+    # the newest row of a load comes first in it, after all rows of earlier loads
+    by_load = Window.partitionBy(*keys).orderBy(LOAD_FROM, *_ordering(order, False))
+    ranked = entered.withColumns({"__last": F.lag(LOAD_FROM).over(by_load),
+                                  "__before": F.max(rank).over(by_load.rowsBetween(Window.unboundedPreceding, -1))})
+    ahead = ranked.where((F.col("__last").isNull() | (F.col("__last") != F.col(LOAD_FROM)))
+                         & (F.col("__before").isNull() | (rank >= F.col("__before"))))
+    until = F.lead(LOAD_FROM).over(Window.partitionBy(*keys).orderBy(LOAD_FROM))
     return (ahead.withColumn("__until", until)
             .withColumn(LOAD_TO, F.when(F.col("__until").isNull(), F.lit(max(loads)).cast("date"))
                         .otherwise(F.array_max(F.filter(dates, lambda d: d < F.col("__until")))))
-            .drop("__before", "__until"))
+            .drop("__last", "__before", "__until"))
 
 
 def _first_load(batch: Column, loads: Sequence[str]) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_columns
 from ..functions.money import money
+from ..operators.joins import orphans
 from ..operators.latest import latest_by_key
 from .registry import Context, model
 
@@ -74,37 +77,35 @@ def latest_order_items(ctx: Context) -> DataFrame:
     return latest_load(ctx.ref("versions_order_items"), "order_item_id", ("product_id",))
 
 
-@model("fact_sales", "core")
-def fact_sales(ctx: Context) -> DataFrame:
-    """Sales fact at order-item grain (inner star join, as the warehouse model).
+@model("fact_orders", "core")
+def fact_orders(ctx: Context) -> DataFrame:
+    """The fact's side of orders: heads that have a customer and a store, with their keys.
 
-    Join order: orders meet their two dimensions first (orders are the smaller
-    side), items meet the product dimension, then the two meet on order_id.
-    Dimensions contribute only their keys, so column pruning leaves them
-    narrow; AQE turns their joins into broadcasts when runtime sizes allow and
-    splits a hot customer/product key otherwise. Where items and orders are tables
-    bucketed by order (``plans.tables``), those two meet first, without a shuffle.
+    Dimensions contribute only their keys, so column pruning leaves them narrow.
     """
     o = (ctx.ref("latest_order_heads")
          .select("order_id", "customer_id", "store_id", "order_date", "order_status",
                  "currency_code"))
     c = ctx.ref("dim_customer").select("customer_key")
     s = ctx.ref("dim_store").select("store_key")
-    p = ctx.ref("dim_product").select("product_key")
-    i = ctx.ref("latest_order_items").select(
-        "order_item_id", "order_id", "product_id", "quantity", "unit_price_at_sale",
-        "unit_cost_at_sale", "discount_amount", "line_total", "batch_date")
+    return (o.join(c, o.customer_id == c.customer_key).join(s, o.store_id == s.store_key)
+            .select("order_id", "customer_key", "store_key", "order_date", "order_status", "currency_code"))
 
-    def with_products(df: DataFrame) -> DataFrame:
-        return df.join(p, df.product_id == p.product_key)
 
-    def with_order_dimensions(df: DataFrame) -> DataFrame:
-        return df.join(c, df.customer_id == c.customer_key).join(s, df.store_id == s.store_key)
+@model("unknown_products", "core")
+def unknown_products(ctx: Context) -> DataFrame:
+    """Products that items name and the dimension doesn't hold, each once."""
+    named = ctx.ref("latest_order_items").select("product_id").distinct()
+    return orphans(named, "product_id", ctx.ref("dim_product"), "product_key")
 
-    if ctx.opt("bucketed"):
-        f = with_products(with_order_dimensions(i.join(o, "order_id")))
-    else:
-        f = with_products(i).join(with_order_dimensions(o), "order_id")
+
+def sales_fact(ctx: Context, orders: DataFrame, with_products: Callable[[DataFrame], DataFrame],
+               orders_first: bool = False) -> DataFrame:
+    """Items that meet ``orders`` and pass ``with_products``, which adds their product's key."""
+    i = ctx.ref("latest_order_items").select(
+        "order_item_id", "order_id", "product_id", "quantity", "unit_price_at_sale",
+        "unit_cost_at_sale", "discount_amount", "line_total", "batch_date")
+    f = with_products(i.join(orders, "order_id")) if orders_first else with_products(i).join(orders, "order_id")
     return f.select(
         "order_item_id", "order_id", "customer_key", "product_key", "store_key",
         F.col("order_date").cast("date").alias("date_key"),
@@ -114,3 +115,33 @@ def fact_sales(ctx: Context) -> DataFrame:
         "discount_amount", "line_total",
         money(F.col("line_total") - F.col("quantity") * F.col("unit_cost_at_sale")).alias("profit"),
         "order_status", "currency_code", "batch_date")
+
+
+def joined_products(products: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    p = products.select("product_key")
+    return lambda df: df.join(p, df.product_id == p.product_key)
+
+
+@model("fact_sales", "core")
+def fact_sales(ctx: Context) -> DataFrame:
+    """Sales fact at order-item grain (inner star join, as the warehouse model).
+
+    Join order: orders meet their two dimensions first (orders are the smaller
+    side), items meet the product dimension, then the two meet on order_id.
+    Dimensions contribute only their keys, so column pruning leaves them
+    narrow; AQE turns their joins into broadcasts when runtime sizes allow and
+    splits a hot customer/product key otherwise. Where items and orders are tables
+    bucketed by order (``plans.tables``), those two meet first, without a shuffle; the
+    products that the dimension lacks are a table there, so items are shuffled by product
+    only if that one is large.
+    """
+    if not ctx.opt("bucketed"):
+        return sales_fact(ctx, ctx.ref("fact_orders"), joined_products(ctx.ref("dim_product")))
+    unknown = ctx.ref("unknown_products").select(F.col("product_id").alias("__unknown"))
+
+    def known_products(df: DataFrame) -> DataFrame:
+        return (df.where(F.col("product_id").isNotNull())
+                .join(unknown, F.col("product_id") == F.col("__unknown"), "left_anti")
+                .withColumn("product_key", F.col("product_id")))
+
+    return sales_fact(ctx, ctx.ref("fact_orders"), known_products, orders_first=True)

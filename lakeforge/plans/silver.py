@@ -21,7 +21,7 @@ def dedupe(ctx: Context, table: str) -> DataFrame:
     loads = ctx.opt("over_loads")
     if loads:
         return latest_by_load(ctx.source(table), spec.key, list(spec.order_by), list(spec.tie_breakers),
-                              "batch_date", loads)
+                              "batch_date", loads, hot_keys=bool(ctx.opt("hot_keys", False)))
     return latest_by_key(ctx.source(table), spec.key, list(spec.order_by), list(spec.tie_breakers))
 
 

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import SPECS
 from .registry import Context
 
-#: Models that meet on an order, by the order they belong to.
-FACT_TABLES = {"latest_order_heads": "order_id", "latest_order_items": "order_id"}
+#: Models that meet on an order, by the order they belong to, and the products that items lack.
+#: Each may read those before it.
+FACT_TABLES = {"latest_order_heads": "order_id", "fact_orders": "order_id", "latest_order_items": "order_id",
+               "unknown_products": "product_id"}
 
 
 def save_table(df: DataFrame, name: str, bucket_by: str, buckets: int, path: str | None = None,
@@ -58,10 +60,11 @@ def table_context(spark: SparkSession, database: str, fx_rates: DataFrame, **opt
 
 def with_fact_tables(ctx: Context, database: str, buckets: int | None = None, root: str | None = None) -> Context:
     """``ctx`` with the models that the fact joins on an order written as bucketed tables and
-    read from there; items and orders then meet first, bucket by bucket."""
+    read from there; items and orders then meet first, bucket by bucket. Orders have met their
+    dimensions before, so no item is shuffled for those."""
     out = Context(ctx.spark, ctx.bronze, ctx.options | {"bucketed": True})
     for m, key in FACT_TABLES.items():
         name, path = _table(ctx.spark, database, m, root)
-        save_table(ctx.ref(m), name, key, buckets or default_buckets(ctx.spark), path)
+        save_table(out.ref(m), name, key, buckets or default_buckets(ctx.spark), path)
         out._cache[m] = ctx.spark.table(name)
     return out

@@ -48,6 +48,15 @@ def test_latest_by_load_equals_a_pass_per_load(spark):
     assert got.select(*want.columns).exceptAll(want).count() == 0
 
 
+def test_versions_and_their_newest_take_one_shuffle(spark):
+    df = spark.createDataFrame([(i % 9, dt.date(2026, 7, 1 + i % 7), i % 5, i) for i in range(200)]
+                               + [(None, dt.date(2026, 7, 2), None, 200)], "k int, batch_date date, ts int, id int")
+    got = latest_by_load(df, "k", ["ts"], ["id"], "batch_date", LOADS)
+    assert _plan(latest_by_key(got, "k", ["ts"], ["id"])).count("Exchange hashpartitioning") == 1
+    hot = latest_by_load(df, "k", ["ts"], ["id"], "batch_date", LOADS, hot_keys=True)
+    assert got.count() == hot.count() > 9 and got.exceptAll(hot.select(*got.columns)).count() == 0
+
+
 def test_a_tie_goes_to_the_later_load(spark):
     df = spark.createDataFrame([(1, dt.date(2026, 7, 1), 5, "a"), (1, dt.date(2026, 7, 3), 5, "b")],
                                "k int, batch_date date, ts int, v string")
@@ -249,6 +258,22 @@ def test_items_meet_orders_without_a_shuffle(spark, tmpdir_run):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_fact_tables_shuffle_no_item_by_customer_and_drop_unknown_products(spark, tmpdir_run):
+    plain = fixture_context(spark, SF_SMALL)
+    ctx = Context(spark, lambda t: plain.source(t).where("product_id % 7 <> 3") if t == "products"
+                  else plain.source(t), plain.options)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = with_fact_tables(ctx, "fact_unknown", 4, f"{tmpdir_run}/tables").ref("fact_sales")
+        assert "hashpartitioning(customer" not in _plan(fact) and "hashpartitioning(store" not in _plan(fact)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(product" not in _plan(fact.select("*", F.lit(1)))  # few unknown products
+    want = ctx.ref("fact_sales").select(*fact.columns)
+    assert plain.ref("fact_sales").count() > fact.count() == want.count() > 0
+    assert fact.exceptAll(want).count() == 0
+
+
 def test_models_over_source_tables(spark, tmpdir_run):
     ctx = fixture_context(spark, SF_SMALL)
     save_sources(ctx, "bronze_test", 4, f"{tmpdir_run}/sources")
