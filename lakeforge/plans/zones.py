@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import RAW_SCHEMAS, SPECS
 from ..session import scratch_path
-from ..sinks.writers import land_csv, write_full, write_ordered
+from ..sinks.writers import land_csv, write_keyed, write_ordered
 from ..sources.files import batch_path, read_bronze, read_landed, read_raw_csv, read_silver
 from ..sources.fx import fx_rates_typed
 from ..streaming.ingest import read_current, stream_bronze, stream_silver
@@ -68,8 +68,8 @@ def silver_zone(ctx: Context) -> DataFrame:
     zones = Zones(_folder(ctx, "silver-zones"))
     for _ in range(2):  # the second write replaces the first
         for t, m in SILVER_OUTPUTS.items():
-            write_full(ctx.ref(m), f"{zones.silver}/{t}")
-        write_full(ctx.ref("reject_customers"), f"{zones.reject}/customers")
+            write_keyed(ctx.ref(m), f"{zones.silver}/{t}")
+        write_keyed(ctx.ref("reject_customers"), f"{zones.reject}/customers")
     return _counted({t: read_silver(ctx.spark, zones.silver, t) for t in SPECS}
                     | {"reject_customers": read_silver(ctx.spark, zones.reject, "customers")})
 

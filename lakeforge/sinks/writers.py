@@ -57,6 +57,12 @@ def write_full(df: DataFrame, path: str) -> None:
     sized(df).write.mode("overwrite").parquet(path)
 
 
+def write_keyed(df: DataFrame, path: str) -> None:
+    """Full overwrite by rows that a shuffle by key has dealt out already (the newest per key):
+    AQE joins its partitions to the volume, so they are not dealt out a second time."""
+    df.write.mode("overwrite").parquet(path)
+
+
 def write_ordered(df: DataFrame, path: str, order: Sequence[str], files: int | None = None) -> None:
     """Write ``df`` sorted across files: a range of ``order`` per file, sorted inside.
 

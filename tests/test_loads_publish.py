@@ -14,12 +14,13 @@ from lakeforge.operators.diff import diff_counts, table_diff
 from lakeforge.operators.latest import at_loads, latest_by_key, latest_by_load
 from lakeforge.operators.profile import concentration, magnitude_block, running_before
 from lakeforge.operators.quality import CORE_EXPECTATIONS, run_expectations
+from lakeforge.plans import zones
 from lakeforge.plans.catalog import CATALOG
 from lakeforge.plans.pipeline import run_pipeline
 from lakeforge.plans.registry import Context, fixture_context
 from lakeforge.plans.tables import save_sources, table_context, with_fact_tables
 from lakeforge.schemas import SPECS
-from lakeforge.sinks.writers import replace_partition, write_full, write_ordered, write_partitioned
+from lakeforge.sinks.writers import replace_partition, write_full, write_keyed, write_ordered, write_partitioned
 from lakeforge.sources import fixtures
 from lakeforge.sources.extract import key_ranges, read_snapshot, read_with_lookback
 from test_io_pipeline import _source_at
@@ -220,6 +221,23 @@ def test_files_do_not_grow_with_tasks(spark, tmpdir_run):
     assert spark.read.parquet(f"{tmpdir_run}/c").count() == 20_000
 
 
+def test_silver_is_not_shuffled_again_to_be_written(spark, tmpdir_run, monkeypatch):
+    plans = []
+
+    def kept(df, path, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write_keyed(df, path, *args)
+
+    monkeypatch.setattr(zones, "write_keyed", kept)
+    CATALOG["silver_zone"](fixture_context(spark, SF_SMALL)).collect()
+    assert len(plans) == 14 and not any("Rebalance" in p for p in plans)
+    df = latest_by_key(spark.range(0, 20_000, 1, 50).selectExpr("id % 5000 as k", "id"), "k", ["id"])
+    write_keyed(df, f"{tmpdir_run}/k")
+    write_keyed(df, f"{tmpdir_run}/k")
+    assert spark.read.parquet(f"{tmpdir_run}/k").count() == 5000
+    assert len([n for n in os.listdir(f"{tmpdir_run}/k") if n.endswith(".parquet")]) <= 4
+
+
 def test_an_empty_rerun_empties_its_partition(spark, tmpdir_run):
     df = spark.range(5).withColumn("batch_date", F.lit("2026-07-01").cast("date"))
     replace_partition(df, tmpdir_run, "2026-07-01")
