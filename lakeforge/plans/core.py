@@ -145,3 +145,15 @@ def fact_sales(ctx: Context) -> DataFrame:
                 .withColumn("product_key", F.col("product_id")))
 
     return sales_fact(ctx, ctx.ref("fact_orders"), known_products, orders_first=True)
+
+
+def fact_orphans(ctx: Context, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """``orphans`` of the sales fact: the key comes from one side of its join, so that side is
+    checked before the join and the others meet only what is left of it. A fact that the
+    context holds already (a written one) is checked as it is."""
+    if "fact_sales" in ctx._cache or key not in ("customer_key", "store_key", "product_key"):
+        return orphans(ctx.ref("fact_sales"), key, parent, parent_key)
+    orders, products = ctx.ref("fact_orders"), ctx.ref("dim_product")
+    if key == "product_key":
+        return sales_fact(ctx, orders, joined_products(orphans(products, key, parent, parent_key)))
+    return sales_fact(ctx, orphans(orders, key, parent, parent_key), joined_products(products), orders_first=True)

@@ -28,6 +28,7 @@ from ..sources.files import latest_batch
 from ..sources.watermark import advance_watermark, get_watermark
 from .bronze import with_lineage
 from .catalog import entry
+from .core import fact_orphans
 from .registry import Context, model
 from .tables import with_fact_tables
 
@@ -64,7 +65,7 @@ for _e in CORE_EXPECTATIONS:
             lambda ctx, _e=_e: duplicate_keys(ctx.ref(_e.model), _e.column))
     if _e.kind == "relationships":
         entry(f"rel_fact_{_e.to.removeprefix('dim_')}")(
-            lambda ctx, _e=_e: orphans(ctx.ref(_e.model), _e.column, ctx.ref(_e.to), _e.field))
+            lambda ctx, _e=_e: fact_orphans(ctx, _e.column, ctx.ref(_e.to), _e.field))
 
 
 @entry("not_null_core")

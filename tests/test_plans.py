@@ -82,3 +82,25 @@ def test_cluster_conf_scales_with_input():
     big = cluster_conf(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 128
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
+
+
+def _items_and_orders(ctx, dim, key):
+    """``ctx`` whose fact still holds keys that the dimension has lost since."""
+    ctx.ref("fact_orders")
+    ctx._cache[dim] = ctx.ref(dim).where(f"{key} % 3 <> 0")
+    return ctx
+
+
+def test_orphans_of_the_fact_are_found_before_its_join(spark):
+    for dim, key in (("customer", "customer_key"), ("store", "store_key")):
+        full = fixture_context(spark, SF_SMALL)
+        fact, parents = full.ref("fact_sales"), full.ref(f"dim_{dim}").where(f"{key} % 3 <> 0")
+        want = fact.where(f"{key} % 3 = 0")
+        ctx = _items_and_orders(fixture_context(spark, SF_SMALL), f"dim_{dim}", key)
+        got = CATALOG[f"rel_fact_{dim}"](ctx)
+        plan = _analysed(got)
+        assert plan.index("LeftAnti") > plan.index("order_id#")  # below the join of items and orders
+        assert got.columns == want.columns and got.count() == want.count() > 0
+        assert got.exceptAll(want).count() == 0
+        full._cache["dim_" + dim] = parents  # a fact that is there already is checked as it is
+        assert CATALOG[f"rel_fact_{dim}"](full).exceptAll(got).count() == 0
