@@ -104,3 +104,17 @@ def test_orphans_of_the_fact_are_found_before_its_join(spark):
         assert got.exceptAll(want).count() == 0
         full._cache["dim_" + dim] = parents  # a fact that is there already is checked as it is
         assert CATALOG[f"rel_fact_{dim}"](full).exceptAll(got).count() == 0
+
+
+def test_marts_count_orders_without_a_distinct_aggregate(spark):
+    shape = ("order_item_id long, order_id long, product_key long, quantity int, line_total decimal(18,4), "
+             "profit decimal(18,4)")
+    rows = [(1, 1, 1, 1), (2, 1, 1, 2), (3, 2, 1, 1), (4, 2, 2, 1), (5, None, 2, 1), (6, None, 1, 1), (None, 2, 2, 5)]
+    ctx = fixture_context(spark, SF_SMALL)
+    ctx._cache["fact_sales"] = spark.createDataFrame([(*r, None, None) for r in rows], shape)
+    df = CATALOG["gold_product_analytics"](ctx)
+    got = {r.product_key: (r.total_orders, r.units_sold) for r in df.collect()}
+    assert got == {1: (2, 5), 2: (1, 7)}
+    text = _analysed(df)
+    assert "count(distinct" not in text and "Aggregate [product_key" in text
+    assert not any("order_id" in line for line in text.split("\n") if "Aggregate [" in line)
