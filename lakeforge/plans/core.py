@@ -140,8 +140,9 @@ def fact_sales(ctx: Context) -> DataFrame:
     unknown = ctx.ref("unknown_products").select(F.col("product_id").alias("__unknown"))
 
     def known_products(df: DataFrame) -> DataFrame:
+        # an anti join would be pushed below the join with orders, and shuffle items for that one too
         return (df.where(F.col("product_id").isNotNull())
-                .join(unknown, F.col("product_id") == F.col("__unknown"), "left_anti")
+                .join(unknown, F.col("product_id") == F.col("__unknown"), "left").where(F.col("__unknown").isNull())
                 .withColumn("product_key", F.col("product_id")))
 
     return sales_fact(ctx, ctx.ref("fact_orders"), known_products, orders_first=True)
